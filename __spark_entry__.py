@@ -38,10 +38,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _ready(spark: SparkSession) -> SparkSession:
-    """Pin the session. A local one also gets as many shuffle partitions as it has cores."""
+    """Pin the session. A local one also gets as many shuffle partitions as it has cores, and smaller
+    ones, so that the cores share the little data there is."""
     session.pin(spark)
     if spark.sparkContext.master.startswith("local"):
         spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     return spark
 
 

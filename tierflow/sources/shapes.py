@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import CLICK_FOLDERS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -153,8 +155,9 @@ def land_clicks(clicks: DataFrame, path: str) -> str:
         clicks.withColumns(
             {"year": F.year(instant), "month": F.month(instant), "day": F.day(instant), "hour": F.hour(instant)}
         )
+        .hint("rebalance", *CLICK_FOLDERS)
         .write.mode("append")
-        .partitionBy("year", "month", "day", "hour")
+        .partitionBy(*CLICK_FOLDERS)
         .option("compression", "gzip")
         .json(path)
     )

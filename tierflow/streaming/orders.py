@@ -67,14 +67,27 @@ def _as_state(changes: DataFrame, run_ts: datetime | None, delete_value: str) ->
     ).select(*T.StructType.fromDDL(_STATE).fieldNames())
 
 
-def _spec(row: Sequence) -> str:
-    live, year, month = row
-    return f"live={str(live).lower()}, order_year={year}, order_month={month}"
+def _point(spark: SparkSession, table: str, stage: str, filled: Sequence[Sequence], emptied: Sequence[Sequence]) -> None:
+    """Let partitions of the table refer to their folders in ``stage`` and drop the emptied ones."""
 
+    def values(partition: Sequence) -> list[str]:
+        return [f"{column}={str(value).lower()}" for column, value in zip(PARTITIONS, partition)]
 
-def _folder(row: Sequence) -> str:
-    live, year, month = row
-    return f"live={str(live).lower()}/order_year={year}/order_month={month}"
+    def spec(partition: Sequence) -> str:
+        return f"PARTITION ({', '.join(values(partition))})"
+
+    def location(partition: Sequence) -> str:
+        return f"LOCATION '{stage}/{'/'.join(values(partition))}'"
+
+    known = {row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    new = [p for p in filled if "/".join(values(p)) not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"{spec(p)} {location(p)}" for p in new))
+    for p in filled:
+        if p not in new:
+            spark.sql(f"ALTER TABLE {table} {spec(p)} SET {location(p)}")
+    if emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(spec(p) for p in emptied))
 
 
 def _within(partitions: Sequence[Sequence]):
@@ -121,12 +134,7 @@ def upsert_orders(
     staged = spark.read.schema(merged.schema).parquet(stage)
     gate(evaluate(staged.filter("live"), rules), f"orders {batch}")
     filled = {tuple(row) for row in staged.select(*PARTITIONS).distinct().collect()}
-    for row in placed:
-        if row in filled:
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_spec(row)}) LOCATION '{stage}/{_folder(row)}'")
-            spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(row)}) SET LOCATION '{stage}/{_folder(row)}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(row)})")
+    _point(spark, table, stage, [p for p in placed if p in filled], [p for p in placed if p not in filled])
     spark.catalog.refreshTable(table)
 
 
