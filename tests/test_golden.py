@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
+from tierflow import session
 from tierflow.functions.cleaning import clean_clicks, clean_crm, clean_orders
 from tierflow.functions.features import click_features, customer_features, rfm_features
 from tierflow.functions.scoring import churn_risk, rfm_segment
@@ -125,6 +126,17 @@ def test_click_time_is_utc(spark):
     ]
 
 
+def test_another_zone_is_refused(spark):
+    bronze = spark.createDataFrame([_click("z", "2024-01-02T02:30:00Z")], BRONZE_CLICKS)
+    spark.conf.set("spark.sql.session.timeZone", "America/Toronto")
+    try:
+        with pytest.raises(ValueError, match="Toronto"):
+            clean_clicks(bronze, RUN_TS)
+    finally:
+        session.pin(spark)
+    assert rows(clean_clicks(bronze, RUN_TS), "event_hour") == [(2,)]
+
+
 def test_first_delivery_wins(spark):
     bronze = spark.createDataFrame(
         [

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_latest, latest_snapshot
+from ..session import require_utc
 
 Dedup = Callable[[DataFrame], DataFrame]
 
@@ -27,6 +28,7 @@ def at(run_ts: datetime | None) -> Column:
 
 def conform_orders(bronze: DataFrame) -> DataFrame:
     """Types, upper-case status and partition columns; keeps every row."""
+    require_utc(bronze.sparkSession)
     ordered_at = F.try_to_timestamp(F.col("order_date"))
     return bronze.withColumns(
         {
@@ -79,6 +81,7 @@ def clean_clicks(bronze: DataFrame, run_ts: datetime | None, dedup: Dedup | None
 
     Date and hour both come from the parsed instant, so they cannot disagree.
     """
+    require_utc(bronze.sparkSession)
     timed = bronze.withColumn("event_ts", F.try_to_timestamp(F.col("timestamp")))
     once = (dedup or first_delivery())(timed)
     return once.filter(F.col("customer_id").isNotNull() & F.col("event_type").isNotNull()).withColumns(

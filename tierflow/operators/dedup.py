@@ -31,7 +31,7 @@ def dedup_latest(
     if filter_first is not None:
         df = df.filter(filter_first)
     if tie_break is None:
-        tie_break = [c for c in df.columns if c not in keys]
+        tie_break = [c for c in df.columns if c not in (*keys, *(o for o in order_by if isinstance(o, str)))]
     order = [_newest_first(c) for c in (*order_by, *tie_break)]
     best = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")

@@ -19,6 +19,10 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Stream state on the executors' disks instead of their heaps: it holds a day of event keys.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -40,6 +44,13 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Dates and hours are taken in the session's zone; any other than UTC would shift them silently."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00"):
+        raise ValueError(f"session time zone is {zone}; use session.build or session.pin")
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -55,12 +66,15 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, *inputs: DataFrame, target_bytes: int = 128 << 20) -> Iterator[int]:
+def sized_shuffles(
+    spark: SparkSession, *inputs: DataFrame, target_bytes: int = 128 << 20, growth: float = 3.0
+) -> Iterator[int]:
     """Raise ``spark.sql.shuffle.partitions`` so that a full shuffle of ``inputs`` stays near
-    ``target_bytes`` per partition. Only ever raises it: adaptive execution merges what turns out small."""
+    ``target_bytes`` per partition, when rows take ``growth`` times the bytes of their files. Only ever
+    raises it: adaptive execution merges what turns out small."""
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
     estimate = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
-    wanted = max(before, min(math.ceil(estimate / target_bytes), 100_000))
+    wanted = max(before, min(math.ceil(estimate * growth / target_bytes), 100_000))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     try:
         yield wanted
