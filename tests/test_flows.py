@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from tierflow import __main__ as command
@@ -42,6 +43,18 @@ def test_invariants(spark, lake):
     assert rows(gold.select("updated_at").distinct()) == rows(export.select("updated_at").distinct()) == [(RUN_TS,)]
 
 
+def test_a_value_too_large_for_the_export_publishes_nothing(spark, lake):
+    orders, clicks, crm = _bronze(spark)
+    flows.run_silver(lake, orders, clicks, crm, RUN_TS)
+    names = [lake.name("customer_profile"), lake.name("profile_export")]
+    flows.run_gold(spark, lake, AS_OF, RUN_TS)
+    before = [rows(spark.table(n)) for n in names]
+    flows.refresh_orders(lake, orders.withColumn("total_amount", F.col("total_amount") * 1e9), RUN_TS)
+    with pytest.raises(ArithmeticException):
+        flows.run_gold(spark, lake, AS_OF, RUN_TS)
+    assert [rows(spark.table(n)) for n in names] == before
+
+
 def test_corrupt_lines_can_be_kept(spark, lake):
     bad = spark.sql(f"SELECT '{{broken' AS {CORRUPT}")
     bronze = shapes.bronze_clicks(spark, SF).unionByName(bad, allowMissingColumns=True)

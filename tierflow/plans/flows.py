@@ -115,21 +115,23 @@ def customer_profile(
 def run_gold(spark: SparkSession, lake: Lake, as_of: date, run_ts: datetime) -> tuple[DataFrame, DataFrame]:
     """Profile and typed export; meant to run daily.
 
-    Four jobs: write the profile, check it, write the export from the stored profile, check that. The
+    Four jobs: write the profile, check it, write the export from the stored profile, check that. Only
+    then both are published, so a value the export cannot hold keeps the old profile in place too. The
     silver tables are resolved once, so a silver refresh meanwhile does not mix versions.
     """
-    orders, clicks, crm = (spark.table(t) for t in (lake.name("silver_orders"), lake.name("silver_clicks"), lake.name("silver_customers")))
+    orders, clicks, crm = (spark.table(lake.name(f"silver_{t}")) for t in ("orders", "clicks", "customers"))
 
     def check(staged: DataFrame) -> None:
         quality.gate(quality.validate_gold(quality.gold_counts(staged, crm, orders, clicks)), "profile")
 
+    def export(staged: DataFrame) -> None:
+        # Plain Parquet whatever the lake's own format is: the readers of the export know nothing else.
+        publish(to_export(staged), lake.name("profile_export"), run_ts, checks=[conforms()])
+
+    profile = customer_profile(crm, orders, clicks, as_of, run_ts)
     with sized_shuffles(spark, orders, clicks, crm):
-        gold = publish(
-            customer_profile(crm, orders, clicks, as_of, run_ts), lake.name("customer_profile"), run_ts, checks=[check], fmt=lake.fmt
-        )
-    # Plain Parquet whatever the lake's own format is: the readers of the export know nothing else.
-    export = publish(to_export(gold), lake.name("profile_export"), run_ts, checks=[conforms()])
-    return gold, export
+        gold = publish(profile, lake.name("customer_profile"), run_ts, checks=[check, export], fmt=lake.fmt)
+    return gold, spark.table(lake.name("profile_export"))
 
 
 # ---------------------------------------------------------------- gold to warehouse
