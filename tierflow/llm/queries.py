@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, secret_scan, sharding, warc
+from . import bpe, minhash, packing, secret_scan, sharding, warc
 from .common import table
 
 
+def op1_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"), k=4)
+
+
 def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -39,7 +43,7 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.report(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_warc, op6_packing, op7_bpe, op8_sharding, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op5_warc, op6_packing, op7_bpe, op8_sharding, op10_secrets)}
 
 # Eight groups of five hex digits, each four base32 digits.
 _GROUPS = ", ".join(
