@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, packing, secret_scan, sharding, warc
+from . import bpe, minhash, order_minhash, packing, secret_scan, sharding, spann, toxicity, warc
 from .common import table
 
 
@@ -13,6 +13,14 @@ def op1_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"), k=4)
 
 
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op3_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -39,11 +47,25 @@ def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_spann(spark: SparkSession, sf: str) -> DataFrame:
+    return spann.nearest(table(spark, sf, "embeddings"))
+
+
 def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.report(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op5_warc, op6_packing, op7_bpe, op8_sharding, op10_secrets)}
+QUERIES = {f.__name__: f for f in (
+        op1_minhash,
+        op2_toxicity,
+        op3_order_minhash,
+        op5_warc,
+        op6_packing,
+        op7_bpe,
+        op8_sharding,
+        op9_spann,
+        op10_secrets,
+    )}
 
 # Eight groups of five hex digits, each four base32 digits.
 _GROUPS = ", ".join(
