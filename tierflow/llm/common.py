@@ -28,14 +28,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str) -> DataFrame:
-    """``mapInArrow`` with small batches. ``make`` runs once per task and returns the function of a batch."""
+def map_batches(
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]], schema: str, last: bool = False
+) -> DataFrame:
+    """``mapInArrow`` with small batches. ``make`` runs once per task and returns the function of a batch; with
+    ``last`` that is called once more, with None, when the task's rows are over."""
     ready(df.sparkSession)
 
     def run(batches):
         step = make()
         for batch in batches:
             yield from step(batch)
+        if last:
+            yield from step(None)
 
     return df.mapInArrow(run, schema)
 
@@ -47,6 +52,14 @@ def ready(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front as long as ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_bytes(column: str = "text"):
     """UTF-8 bytes of a text, null as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -23,8 +23,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import map_batches, stage, text_bytes
+from .common import fresh, map_batches, stage, text_bytes
 
 REGISTERS, BAND = 112, 4
 BASE = 1.02  # spacing of the levels
@@ -272,3 +273,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> Data
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One document of each component, that with the smallest doc_id, with its own columns; of rows that repeat
+    an id the first by text. Documents without an id stay."""
+    gone = stage(near_duplicates(docs, k, threshold).filter(~F.col("kept")).select("doc_id").distinct(), "copies")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if not docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        return left
+    at = fresh(docs, "row")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    return left.withColumn(at, F.row_number().over(first)).filter((F.col(at) == 1) | F.col("doc_id").isNull()).drop(at)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, order_minhash, packing, secret_scan, sharding, spann, toxicity, warc
+from . import bpe, minhash, order_minhash, packing, secret_scan, sharding, spann, suffix_tree, toxicity, warc
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op3_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf, "documents"))
 
 
+def op4_suffix_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -59,6 +63,7 @@ QUERIES = {f.__name__: f for f in (
         op1_minhash,
         op2_toxicity,
         op3_order_minhash,
+        op4_suffix_tree,
         op5_warc,
         op6_packing,
         op7_bpe,

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import fresh
+
 # Fixed patterns of the base kinds, in the order ties are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -210,25 +212,28 @@ def discovery_bound(docs: DataFrame, rate: float = RATE) -> float:
     return 0.0 if least is None else 10.0 ** (-least * BIN)
 
 
-def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
-    """``docs`` with a column ``secrets``: all spans as (start, end, kind rank, kind), sorted by start, then kind."""
+def scan(docs: DataFrame, name: str, rate: float = RATE) -> DataFrame:
+    """``docs`` with a column ``name``: all spans as (start, kind rank, end, kind), sorted by start, then kind."""
     bound = discovery_bound(docs, rate)
     text = F.coalesce("text", F.lit(""))
+    base, found = fresh(docs, "base_spans"), fresh(docs, "found_spans")
 
     def named(spans: Column, rank: int) -> Column:
         return F.transform(
-            spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(KINDS[rank]).alias("kind"))
+            spans,
+            lambda s: F.struct(
+                s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(KINDS[rank]).alias("kind")
+            ),
         )
 
     assigned = F.filter(_spans(text, ASSIGN, 2), lambda s: F.length(s["value"]) >= ASSIGN_LEAST)
-    with_base = docs.withColumn(
-        "_base", F.array_sort(F.concat(named(assigned, 0), named(_spans(text, ACCESS), 1), named(_spans(text, HEX), 2)))
-    ).withColumn("_found", F.filter(_candidates(text), lambda s: s["p"] <= F.lit(bound)))
-    # a discovery inside or across a base span says nothing new
-    fresh = F.filter(
-        "_found", lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    spans = F.concat(named(assigned, 0), named(_spans(text, ACCESS), 1), named(_spans(text, HEX), 2))
+    with_base = docs.withColumn(base, F.array_sort(spans)).withColumn(
+        found, F.filter(_candidates(text), lambda s: s["p"] <= F.lit(bound))
     )
-    return with_base.withColumn("secrets", F.array_sort(F.concat("_base", named(fresh, 3)))).drop("_base", "_found")
+    # a discovery inside or across a base span says nothing new
+    new = F.filter(found, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    return with_base.withColumn(name, F.array_sort(F.concat(base, named(new, 3)))).drop(base, found)
 
 
 def _joined(spans: Column) -> Column:
@@ -238,7 +243,7 @@ def _joined(spans: Column) -> Column:
 def report(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: counts of the base kinds, digest of the base spans, all spans."""
     count = lambda rank: F.size(F.filter("secrets", lambda s: s["rank"] == rank)).cast("long")
-    return scan(docs.select("doc_id", "text")).select(
+    return scan(docs.select("doc_id", "text"), "secrets").select(
         "doc_id",
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
@@ -251,11 +256,11 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``; overlapping spans give one mark.
     ``n_chars``, where there is one, is counted anew for changed texts. Null texts stay null."""
+    spans, clean = fresh(docs, "secrets"), fresh(docs, "clean_text")
     text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     replaced = F.aggregate(
-        "secrets",
-        start,
+        spans,
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
             F.when(s["start"] < acc["at"], acc["out"])
@@ -264,12 +269,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
         ),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    changed = F.size("secrets") > 0
-    out = scan(docs).withColumn("_text", F.when(changed, replaced).otherwise(text))
-    columns = [
-        F.col("_text").alias("text") if c == "text"
-        else F.when(changed, F.length("_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars"
-        else F.col(c)
-        for c in docs.columns
-    ]
-    return out.select(*columns)
+    changed = F.size(spans) > 0
+    out = scan(docs, spans).withColumn(clean, F.when(changed, replaced).otherwise(text))
+    new = {"text": F.col(clean), "n_chars": F.when(changed, F.length(clean).cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
+    return out.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))

@@ -23,10 +23,10 @@ from dataclasses import dataclass
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, map_batches, stage, text_bytes
+from .common import fresh, held_out, map_batches, stage, text_bytes
 
 MODULUS = 4
 TOXIC_ROWS, ORDINARY_ROWS = 4000, 8000
@@ -209,34 +209,45 @@ def _rising(parts: list[tuple[float, float]]) -> list[float]:
     return [min(1.0, hit / size) for hit, size, n in pools for _ in range(n)]
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score``, ``_evidence`` and ``predicted``; all columns stay."""
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, `_evidence` double"
+def evidence(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """``docs`` with all its columns and the evidence of each text as column ``name``."""
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema)}, `{name}` double"
 
     def make():
         savings = model.evidence() if model.toxic else lambda text: ()
 
         def step(batch):
             at = batch.schema.names.index("text")
-            evidence = []
+            found = []
             for text in batch.column(at):
                 raw = text.as_py().encode() if text.is_valid else b""
-                evidence.append(float(sum(model.weights[_level(saved)] for saved in savings(raw))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(evidence, pa.float64())], names=[*batch.schema.names, "_evidence"])
+                found.append(float(sum(model.weights[_level(saved)] for saved in savings(raw))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
 
         return step
 
-    scored = map_batches(docs, make, schema)
-    value = F.element_at(F.array(*map(F.lit, model.scores)), _bin(F.col("_evidence")) + 1)
-    return scored.withColumn("score", value).withColumn("predicted", F.when(value >= THRESHOLD, 1).otherwise(0))
+    return map_batches(docs, make, schema)
+
+
+def score(model: Model, name: str) -> Column:
+    """Calibrated score of the evidence in column ``name``."""
+    return F.element_at(F.array(*map(F.lit, model.scores)), _bin(F.col(name)) + 1)
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted, evidence`` per row."""
-    scored = score(docs.select("doc_id", "text"), fit(docs, labels))
-    return scored.select("doc_id", held_out(MODULUS).alias("held_out"), "score", "predicted", F.col("_evidence").alias("evidence"))
+    model = fit(docs, labels)
+    value = score(model, "evidence")
+    return evidence(docs.select("doc_id", "text"), model, "evidence").select(
+        "doc_id",
+        held_out(MODULUS).alias("held_out"),
+        value.alias("score"),
+        F.when(value >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+        "evidence",
+    )
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` that are not predicted toxic, with their own columns."""
-    return score(docs, fit(docs, labels)).filter("predicted = 0").select(*docs.columns)
+    model, name = fit(docs, labels), fresh(docs, "evidence")
+    return evidence(docs, model, name).filter(score(model, name) < THRESHOLD).select(*docs.columns)
