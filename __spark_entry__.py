@@ -34,6 +34,19 @@ CLEANABLE, FAILING, CHANGES, EVERYTHING = "UNZ", "UNZBS", "UD", "UDNZBS"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        import tierflow.llm.queries as corpus
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "tierflow.llm"):
+            raise
+        return {}, {}
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return corpus.QUERIES | {"pipeline": corpus_pipeline.run}, corpus.SQL | pipeline_sql
+
+
 # ---------------------------------------------------------------- inputs
 
 
@@ -367,7 +380,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _prepared(query) for name, query in _QUERIES.items()}
+    return {name: _prepared(query) for name, query in _QUERIES.items()} | _corpus()[0]
 
 
 # ---------------------------------------------------------------- the same in SQL
@@ -591,7 +604,7 @@ def oracle_sql() -> dict[str, str]:
     export = _from_profile("SELECT * FROM export")
     rfm = _with("SELECT * FROM rfm", _sql_orders(CLEANABLE), _SQL_SILVER_ORDERS, _sql_rfm(AS_OF))
     share = "round(count(*) * 100.0 / (SELECT count(*) FROM profile), 2)::DOUBLE AS share_percent"
-    return {
+    return _corpus()[1] | {
         "catalog_scan": _with("SELECT * FROM bronze_orders", _sql_orders(EVERYTHING)),
         "catalog_partitions": _with(
             f"SELECT year, month, day, hour, count(*) AS rows FROM (SELECT {hours} FROM bronze_clicks) GROUP BY ALL", _SQL_CLICKS

@@ -16,11 +16,15 @@ def con():
     return oracle.connect(SF)
 
 
+# The training-data queries have tests of their own.
+CORPUS = set(entry_points._corpus()[0])
+
+
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(entry_points.queries()) - CORPUS == set(entry_points.oracle_sql()) - CORPUS
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", [name for name in entry_points.queries() if name not in CORPUS])
 def test_query_equals_sql(spark, con, name):
     assert oracle.compare(spark, con, SF, name) is None
 
