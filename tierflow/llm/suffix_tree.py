@@ -48,6 +48,9 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 # Rounds: totals of words, of pairs, of contexts of one word, of triples, of contexts of two words.
 WORDS, PAIRS, ONE, TRIPLES, TWO = range(5)
 
+# Types of what a block says of a context: divergence, distinct next words, those seen once, occurrences.
+CONTEXT = ("<f4", "<f4", "<u4", "<u4")
+
 _START = np.uint64(0x2545F4914F6CDD1D)  # stands for the place before the first word
 _FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # fixed odd numbers
 
@@ -64,6 +67,20 @@ def unpress(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel() if len(raw) else np.empty(0, kind)
 
 
+def press_columns(columns: list[np.ndarray]) -> bytes:
+    """Compressed arrays one after the other, each with its length in front."""
+    return b"".join(len(part).to_bytes(4, "little") + part for part in map(press, columns))
+
+
+def unpress_columns(data: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    out, at = [], 0
+    for kind in kinds:
+        size = int.from_bytes(data[at : at + 4], "little")
+        out.append(unpress(data[at + 4 : at + 4 + size], kind))
+        at += 4 + size
+    return out
+
+
 def steps(keys: np.ndarray) -> np.ndarray:
     return np.diff(keys, prepend=np.uint64(0))
 
@@ -224,11 +241,11 @@ class Block:
         """Distinct keys by bucket with the sums of ``parts``: (which positions count, their values)."""
         distinct, inverse = np.unique(keys, return_inverse=True)
         sums = [np.bincount(inverse[which], None if value is None else value[which], minlength=len(distinct)) for which, value in parts]
-        table = np.stack(sums, axis=1).astype("<u4" if len(parts) == 1 else "<f8")
+        columns = [x.astype(kind) for x, kind in zip(sums, ("<u4",) if len(parts) == 1 else CONTEXT, strict=True)]
         edges = (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(np.uint64)
         at = np.concatenate(([0], np.searchsorted(distinct, edges), [len(distinct)]))
         return [
-            (number, b, self.number, press(steps(distinct[lo:hi])), press(table[lo:hi]))
+            (number, b, self.number, press(steps(distinct[lo:hi])), press_columns([c[lo:hi] for c in columns]))
             for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True))
             if hi > lo
         ]
@@ -305,11 +322,11 @@ def total_keys(table: pa.Table) -> pa.Table:
     keys = [np.cumsum(unpress(r["keys"], "<u8"), dtype=np.uint64) for r in rows]
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     if number in (PAIRS, TRIPLES):
-        totals = np.bincount(inverse, np.concatenate([unpress(r["payload"], "<u4") for r in rows]), minlength=len(distinct))
+        counts = np.concatenate([unpress_columns(r["payload"], ("<u4",))[0] for r in rows])
+        totals = np.bincount(inverse, counts, minlength=len(distinct))
     else:
-        # a table was pressed row by row, so its bytes come back in the same shape
-        values = np.concatenate([unpress_table(r["payload"], 4) for r in rows])
-        gain, types, single, n = (np.bincount(inverse, values[:, i], minlength=len(distinct)) for i in range(4))
+        parts = zip(*(unpress_columns(r["payload"], CONTEXT) for r in rows), strict=True)
+        gain, types, single, n = (np.bincount(inverse, np.concatenate(part), minlength=len(distinct)) for part in parts)
         types = np.round(types)
         shorter = np.log(np.minimum(1.0, DISCOUNT * np.maximum(types, 1) / np.maximum(n - 1, 1)))
         totals = np.where((gain + single * shorter > GAIN) & (n >= SUPPORT), types, 0)
@@ -321,11 +338,6 @@ def total_keys(table: pa.Table) -> pa.Table:
     return _rows(out, REPLY, REPLY_TYPES)
 
 
-def unpress_table(data: bytes, columns: int) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(8 * columns, -1).T).view("<f8").reshape(-1, columns)
-
-
 # ---------------------------------------------------------------- the rounds
 
 
