@@ -28,13 +28,22 @@ from .common import map_batches, text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
 # Pieces a worker keeps; emptied when full, so its memory is bounded.
-KEPT = 300_000
+KEPT = 600_000
 NONE = -1
 LATE = 1 << 60
 # Marks a symbol that ends a word: the code point of its character moved up by this.
 SHIFT = 0x20000
-# ASCII words as the tokenizer file cuts them; for texts without other characters.
-ASCII_WORD = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
+# Texts that lower case and cut alike in every library: ASCII and the letters of Latin-1 and Latin Extended-A
+# but for the dotted capital I, whose lower case is two characters. All are in normal form C.
+LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+SIMPLE = re.compile(f"[\x00-\x7f{LATIN}]*")
+# Words of such texts as the tokenizer file cuts them.
+SIMPLE_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^\x09-\x0d\x20a-z0-9{LATIN}]+")
+# Fixed: the character that stands for each byte in a byte-level vocabulary.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARACTERS = [chr(b) if b in _SHOWN else "" for b in range(256)]
+for _n, _b in enumerate(b for b in range(256) if b not in _SHOWN):
+    BYTE_CHARACTERS[_b] = chr(256 + _n)
 
 
 class Merges:
@@ -166,8 +175,8 @@ class Codec:
 
     def encode(self, piece: str) -> list[int]:
         """Ids of a text."""
-        if piece.isascii() and piece.isalpha() and piece.islower():
-            return self.word(piece)  # nothing to normalise or cut
+        if piece.isalpha() and piece.islower() and SIMPLE.fullmatch(piece):
+            return self.word(by_bytes(piece))  # nothing to normalise or cut
         out: list[int] = []
         for segment in self.split_special.split(piece) if self.split_special else [piece]:
             if segment in self.special:
@@ -200,6 +209,11 @@ def resolve(path: str | None) -> str:
     return path or public_tokenizers.path(TOKENIZER)
 
 
+def by_bytes(word: str) -> str:
+    """A word in the characters of a byte-level vocabulary."""
+    return word if word.isascii() else "".join([BYTE_CHARACTERS[b] for b in word.encode()])
+
+
 class Pieces(dict):
     """What each piece of text maps to, worked out once per worker."""
 
@@ -207,16 +221,17 @@ class Pieces(dict):
         super().__init__()
         self.make = make
 
-    def __missing__(self, piece: bytes):
-        self[piece] = value = self.make(piece.decode())
+    def __missing__(self, piece: str):
+        self[piece] = value = self.make(piece)
         return value
 
 
-def cut(text: bytes) -> list[bytes]:
+def cut(raw: bytes) -> list[str]:
     """Pieces of a text that encode independently: words where that is simple, else runs without white space."""
-    if text.isascii() and b"<|" not in text:
-        return ASCII_WORD.findall(text.lower())
-    return text.split()
+    text = raw.decode()
+    if "<|" not in text and (text.isascii() or SIMPLE.fullmatch(text)):
+        return SIMPLE_WORD.findall(text.lower())
+    return [piece.decode() for piece in raw.split()]
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ table gives an empty one. Columns other than ``doc_id`` and ``text`` are not rea
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections import defaultdict
 
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import KEPT, Pieces, cut, library, resolve
+from .bpe import KEPT, SIMPLE, Pieces, by_bytes, cut, library, resolve
 from .common import map_batches, part_offsets, stage, text_bytes
 
 CAPACITY = 2048
@@ -185,7 +186,15 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
 
     def make():
         tokenizer = library(resolve(path))
-        known = Pieces(lambda piece: np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes())
+
+        def ids_of(piece: str) -> bytes:
+            if piece.isalpha() and piece.islower() and SIMPLE.fullmatch(piece):
+                ids = [t.id for t in tokenizer.model.tokenize(by_bytes(piece))]  # nothing to normalise or cut
+            else:
+                ids = tokenizer.encode(piece, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        known = Pieces(ids_of)
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         end = b"\0\0\0\0"
 
