@@ -4,10 +4,11 @@ A document is its set of distinct word shingles. Equal sets are one node. A node
 register, the exponentially spaced and truncated level of a minimum over its shingles; sketches of parts
 merge by maximum. Nodes that agree on a band of registers share a bucket. Within a bucket only pairs with its
 centre, the node that shares most buckets with others, are proposed; then, once what is linked has been
-joined, pairs of nodes that are still in different components. So a group of thousands of near copies costs
-a star and not its square, and every pair that shares a bucket is either verified or already connected.
-Proposed pairs are first weighed by the likelihood of their registers; the likely ones are verified on their
-full shingle sets.
+joined, pairs of nodes that are still in different components. For those it is first counted how many of a
+node's shingles any other such node has: a node can share no more than that, which rules out, without looking
+at pairs, nodes with too much of their own. So a group of thousands of near copies costs a star and not its
+square, and every pair that shares a bucket is verified, ruled out or already connected. Proposed pairs are
+weighed by the likelihood of their registers; the likely ones are verified on their full shingle sets.
 
 Null and empty texts have no shingles and stay alone. Documents without an id link to nothing and are kept.
 Rows that share a ``doc_id`` are one node of the graph, whatever their texts. Components are by the smallest
@@ -25,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh, map_batches, stage, text_bytes
+from .arrays import mix, odd, press, steps, unpress
+from .common import fresh, map_batches, ready, stage, text_bytes
 
 REGISTERS, BAND = 112, 4
 BASE = 1.02  # spacing of the levels
@@ -34,25 +36,14 @@ LEVELS = 65_000
 # than at their best; 16 is 5.6 standard deviations.
 LIKELY = 16.0
 WORDS_KEPT = 400_000
-
-_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # fixed: finaliser of splitmix64
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def _odd(n: int, seed: int) -> np.ndarray:
-    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
-
+# Components of fewer nodes are compared node by node; larger ones in pieces of about so many nodes.
+SMALL, PIECE = 32, 512
 
 class Shingles:
     """Distinct shingle hashes of texts; words are hashed once per worker."""
 
     def __init__(self, k: int) -> None:
-        self.k, self.words, self.factors = k, {}, _odd(k, 7)
+        self.k, self.words, self.factors = k, {}, odd(k, 7)
 
     def __call__(self, text: bytes) -> np.ndarray:
         """Sorted hashes of the distinct runs of ``k`` words, or of the whole text if it has fewer."""
@@ -80,7 +71,7 @@ class Sketcher:
     """SetSketch: per register the level of the smallest of exponential variables, one per element."""
 
     def __init__(self, registers: int = REGISTERS) -> None:
-        self.a, self.c = _odd(registers, 11), _odd(registers, 13)
+        self.a, self.c = odd(registers, 11), odd(registers, 13)
 
     def __call__(self, elements: np.ndarray) -> np.ndarray:
         least = np.full(len(self.a), np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -194,6 +185,55 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, thresh
     return map_batches(with_a.select("a", "b", F.col("text").alias("text_a"), "text_b"), make, "a long, b long").distinct()
 
 
+def shared_sizes(texts: DataFrame, k: int) -> DataFrame:
+    """``id, common`` of ``id, text``: how many of a document's shingles at least one other has too.
+
+    Shingles travel packed, for each batch of documents and each range of hashes, to the task of the range. A
+    shingle that all have is one entry per document there, like any other."""
+    ready(texts.sparkSession)
+    ranges = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def make():
+        shingles = Shingles(k)
+        edges = (np.arange(1, ranges, dtype=np.float64) * (2.0**64 / ranges)).astype(np.uint64)
+
+        def step(batch):
+            if not batch.num_rows:
+                return
+            found = [shingles(text.as_py()) for text in batch.column(1)]
+            keys = np.concatenate(found)
+            owner = np.repeat(np.arange(len(found), dtype="<u2"), [len(f) for f in found])
+            order = np.argsort(keys, kind="stable")
+            keys, owner = keys[order], owner[order]
+            at = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
+            parts = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True)) if hi > lo]
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
+            yield pa.record_batch(
+                [
+                    pa.array([b for b, _, _ in parts], pa.int32()),
+                    pa.array([ids] * len(parts), pa.binary()),
+                    pa.array([press(owner[lo:hi]) for _, lo, hi in parts], pa.binary()),
+                    pa.array([press(steps(keys[lo:hi])) for _, lo, hi in parts], pa.binary()),
+                ],
+                names=["range", "ids", "owners", "keys"],
+            )
+
+        return step
+
+    def count(table: pa.Table) -> pa.Table:
+        ids, keys = [], []
+        for row in table.to_pylist():
+            ids.append(np.frombuffer(row["ids"], dtype="<i8")[unpress(row["owners"], "<u2")])
+            keys.append(np.cumsum(unpress(row["keys"], "<u8"), dtype=np.uint64))
+        _, inverse, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+        owners, common = np.unique(np.concatenate(ids)[n[inverse] > 1], return_counts=True)
+        return pa.table({"id": pa.array(owners, pa.int64()), "common": pa.array(common, pa.int64())})
+
+    packed = map_batches(texts.select("id", text_bytes().alias("text")), make, "range int, ids binary, owners binary, keys binary")
+    counted = packed.groupBy("range").applyInArrow(count, "id long, common long")
+    return counted.groupBy("id").agg(F.sum("common").alias("common"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id, component`` of every node with an edge: the smallest id that can be reached.
 
@@ -213,6 +253,81 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def across(placed: DataFrame, tested: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Links between nodes of different components that share a bucket.
+
+    ``placed`` has ``band, id, n, component, common``. A node is held against each component it meets that is
+    larger than its own (ties: of smaller id): against single nodes of a small one, against all nodes of a
+    large one at once, in pieces of bounded size. So the rows grow with nodes times components, not with the
+    square of a group."""
+    slack, most = 1e-6, 1 + threshold
+    of = stage(placed.select("id", "n", "component", "common").distinct(), "placed")
+    sizes = stage(
+        of.groupBy("component").agg(
+            F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("common").alias("most")
+        ),
+        "component-sizes",
+    )
+    ranked = placed.join(sizes.select("component", "size"), "component")
+    here = ranked.select("band", F.col("component").alias("target"), F.col("size").alias("target_size")).distinct()
+    here = stage(here.join(sizes.select(F.col("component").alias("target"), "low", "high", "most"), "target"), "bucket-components")
+    before = (F.col("target_size") > F.col("size")) | ((F.col("target_size") == F.col("size")) & (F.col("target") < F.col("component")))
+    # no member of the target could reach the threshold, by sizes and by what others have too
+    fits = (F.col("n") >= threshold * F.col("low") - slack) & (F.col("high") >= threshold * F.col("n") - slack)
+    can = most * F.least("common", "most") >= threshold * (F.col("n") + F.greatest("low", threshold * F.col("n"))) - slack
+    ranked = stage(ranked, "ranked-members")
+    meets = ranked.join(here, "band").filter(before & fits & can).select("id", "n", "common", "target", "target_size").distinct()
+    meets = stage(meets, "meetings")
+    small = meets.filter(F.col("target_size") < SMALL).join(
+        of.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("target"), F.col("common").alias("common_b")),
+        "target",
+    )
+    small = small.filter(
+        (F.least("n", "n_b") >= threshold * F.greatest("n", "n_b") - slack)
+        & (most * F.least("common", "common_b") >= threshold * (F.col("n") + F.col("n_b")) - slack)
+    ).select(F.col("id").alias("a"), "b")
+    done = tested.select("a", "b").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = stage(small.distinct().join(done, ["a", "b"], "left_anti"), "open")
+    single = verified(stage(likely_pairs(pairs, nodes, threshold), "likely"), nodes, texts.withColumnRenamed("id", "doc_id"), k, threshold)
+    # large components: pieces of at most about PIECE nodes against at most about PIECE visitors
+    large = meets.filter(F.col("target_size") >= SMALL).select("id", "target", "target_size")
+    visitors = stage(large.groupBy("target").agg(F.count("*").alias("visitors"), F.max("target_size").alias("size")), "visited")
+    cuts = visitors.select("target", F.ceil(F.col("size") / PIECE).alias("cut"), F.ceil(F.col("visitors") / PIECE).alias("among"))
+    piece = lambda n: F.pmod(F.xxhash64("id"), n)
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    inside = of.select("id", F.col("component").alias("target")).join(cuts, "target")
+    inside = inside.select("target", "id", piece(F.col("cut")).alias("part"), each(F.col("among")).alias("group"))
+    outside = large.select("target", "id").join(cuts, "target")
+    outside = outside.select("target", "id", each(F.col("cut")).alias("part"), piece(F.col("among")).alias("group"))
+    percent = round(threshold * 100)
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            shingles = Shingles(k)
+            ids = left.column("id").to_pylist()
+            sets = [shingles(t.as_py()) for t in left.column("own_text")]
+            sizes = np.array([len(x) for x in sets])
+            keys, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(keys, kind="stable")
+            keys, owner = keys[order], owner[order]
+            for id_, t in zip(right.column("id").to_pylist(), right.column("other_text"), strict=True):
+                own = shingles(t.as_py())
+                lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+                n = hi - lo
+                at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                shared = np.bincount(owner[at], minlength=len(sets))
+                for i in np.flatnonzero(100 * shared >= percent * (sizes + len(own) - shared)):
+                    a.append(id_), b.append(ids[i])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    keys = ["target", "part", "group"]
+    own_texts = texts.select("id", text_bytes().alias("own_text"))
+    other_texts = texts.select("id", text_bytes().alias("other_text"))
+    grouped = inside.join(own_texts, "id").groupBy(*keys).cogroup(outside.join(other_texts, "id").groupBy(*keys))
+    return single.union(grouped.applyInArrow(compare, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
     all_rows = stage(sketches(docs, k), "sketches")
@@ -250,16 +365,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> Data
         "mixed",
     )
     placed = stage(placed.join(mixed, "band"), "mixed-members")
-    other = placed.select("band", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("component_b"))
-    open_pairs = (
-        placed.join(other, "band")
-        .filter((F.col("component") < F.col("component_b")) & (F.least("n", "n_b") >= threshold * F.greatest("n", "n_b") - 1e-6))
-        .select(F.col("id").alias("a"), "b")
-        .distinct()
-    )
-    tested = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = stage(likely_pairs(stage(open_pairs.join(tested, ["a", "b"], "left_anti"), "open"), nodes, threshold), "likely")
-    more = stage(verified(rest, nodes, docs, k, threshold), "links")
+    asked = nodes.select("id", "md5").join(placed.select("id").distinct(), "id", "left_semi")
+    texts = docs.select(F.col("doc_id").alias("id"), F.md5(text_bytes()).alias("md5"), "text").join(asked, ["id", "md5"], "left_semi")
+    texts = stage(texts.select("id", "text"), "mixed-texts")
+    # of n shingles of their own, a and b share at most what others have too
+    common = stage(shared_sizes(texts, k), "common")
+    placed = stage(placed.join(common, "id").filter(F.col("common") >= threshold * F.col("n") - 1e-6), "mixed-members")
+    more = stage(across(placed, stars, nodes, texts, k, threshold), "links")
     if more.limit(1).count():
         labels = components(links.union(more))
     # every row gets the component of its set

@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import mix, odd
 from .common import map_batches, text_bytes
-from .minhash import _odd, mix
 
 K, COMPONENTS, TUPLE = 8, 64, 2
 PLACE = 24  # bits of a place in the text; the rest of 64 are the hash
-FACTORS = _odd(K, 17)
-SEEDS = _odd(COMPONENTS, 19)
+FACTORS = odd(K, 17)
+SEEDS = odd(COMPONENTS, 19)
 STEP = np.uint64(0x9E3779B97F4A7C15)  # fixed: golden ratio in 64 bits
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from tierflow import session
 
+from .arrays import mix, press, steps, unpress
 from .common import held_out, map_batches, ready, stage, text_bytes
-from .minhash import mix
 
 MODULUS = 7
 BLOCK_TOKENS = 1 << 20
@@ -55,18 +55,6 @@ _START = np.uint64(0x2545F4914F6CDD1D)  # stands for the place before the first
 _FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # fixed odd numbers
 
 
-def press(values: np.ndarray) -> bytes:
-    """Compressed array: bytes of equal weight side by side."""
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
-    return zstandard.ZstdCompressor(level=1).compress(raw)
-
-
-def unpress(data: bytes, kind: str) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel() if len(raw) else np.empty(0, kind)
-
-
 def press_columns(columns: list[np.ndarray]) -> bytes:
     """Compressed arrays one after the other, each with its length in front."""
     return b"".join(len(part).to_bytes(4, "little") + part for part in map(press, columns))
@@ -81,10 +69,6 @@ def unpress_columns(data: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
     return out
 
 
-def steps(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=np.uint64(0))
-
-
 # ---------------------------------------------------------------- blocks
 
 
