@@ -221,17 +221,27 @@ def shared_sizes(texts: DataFrame, k: int) -> DataFrame:
         return step
 
     def count(table: pa.Table) -> pa.Table:
-        ids, keys = [], []
-        for row in table.to_pylist():
-            ids.append(np.frombuffer(row["ids"], dtype="<i8")[unpress(row["owners"], "<u2")])
-            keys.append(np.cumsum(unpress(row["keys"], "<u8"), dtype=np.uint64))
-        _, inverse, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-        owners, common = np.unique(np.concatenate(ids)[n[inverse] > 1], return_counts=True)
-        return pa.table({"id": pa.array(owners, pa.int64()), "common": pa.array(common, pa.int64())})
+        rows = table.to_pylist()
+        owners = [unpress(r["owners"], "<u2") for r in rows]
+        keys = np.concatenate([np.cumsum(unpress(r["keys"], "<u8"), dtype=np.uint64) for r in rows])
+        _, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
+        common, at, sums = n[inverse] > 1, 0, []
+        for row, own in zip(rows, owners, strict=True):
+            sums.append(press(np.bincount(own[common[at : at + len(own)]], minlength=len(row["ids"]) // 8).astype("<u4")))
+            at += len(own)
+        batch = [xxhash.xxh3_64_intdigest(r["ids"]) - (1 << 63) for r in rows]
+        return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array([r["ids"] for r in rows], pa.binary()), "sums": pa.array(sums, pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        ids = table.column("ids")[0].as_py()
+        common = sum(unpress(x, "<u4").astype(np.int64) for x in table.column("sums").to_pylist())
+        return pa.table({"id": pa.array(np.frombuffer(ids, dtype="<i8"), pa.int64()), "common": pa.array(common, pa.int64())})
 
     packed = map_batches(texts.select("id", text_bytes().alias("text")), make, "range int, ids binary, owners binary, keys binary")
-    counted = packed.groupBy("range").applyInArrow(count, "id long, common long")
-    return counted.groupBy("id").agg(F.sum("common").alias("common"))
+    # a row for each batch and range here, and one for each document only when they are summed
+    counted = packed.groupBy("range").applyInArrow(count, "batch long, ids binary, sums binary")
+    counted = counted.groupBy("batch").applyInArrow(add, "id long, common long")
+    return counted.groupBy("id").agg(F.max("common").alias("common"))
 
 
 def components(edges: DataFrame) -> DataFrame:
