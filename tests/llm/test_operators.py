@@ -1,0 +1,393 @@
+"""Each operator on the smallest table against brute force, and on nulls, ties, repeats and nothing at all."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tierflow.llm import bpe, minhash, packing, queries, secret_scan, suffix_tree, toxicity, warc
+from tierflow.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, secrets int, row int"
+LONG = "so long a text " * 3000
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r["doc_id"]: r["text"] or "" for r in table(spark, SF, "documents").collect()}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and long texts, ties, repeated rows, columns with names used inside."""
+    rows = [
+        (1, "one two three four five six seven", "en", "a", 33, "x", 1, 1),
+        (1, "one two three four five six seven", "en", "a", 33, "x", 1, 1),
+        (2, "One two three four five six seven", None, None, None, None, None, None),
+        (3, None, None, None, None, None, None, None),
+        (4, "", "", "", 0, "", 0, 0),
+        (None, "token = abcdefgh12345 éß\U0001f600 <|endoftext|>", None, None, 5, None, None, None),
+        (5, LONG, "en", "a", len(LONG), None, None, None),
+        (6, " \t\n", None, None, 3, None, None, None),
+    ]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def run(spark, name):
+    return queries.QUERIES[name](spark, SF).collect()
+
+
+def crc(doc_id, modulus):
+    return zlib.crc32(str(doc_id).encode()) % modulus == 2
+
+
+def shingles(text, k):
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def classes(texts, k):
+    sets = {i: shingles(t, k) for i, t in texts.items()}
+    component = {i: i for i in texts}
+
+    def root(i):
+        while component[i] != i:
+            i = component[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            shared = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = sorted((root(a), root(b)))
+                component[y] = x
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def test_near_duplicates_equal_brute_force(spark, texts):
+    want = classes(texts, 4)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in run(spark, "op1_minhash")} == want
+
+
+def test_near_duplicates_of_many_near_copies(spark):
+    """A group whose members differ from its first by one word each, and a chain that only neighbours link."""
+    base = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    rows += [(i, " ".join([*base[: i - 1], f"x{i}", *base[i:]])) for i in range(1, 60)]
+    rows += [(100 + i, " ".join(f"v{j}" for j in range(3 * i, 3 * i + 60))) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(df, 4).collect()}
+    assert got == classes(dict(rows), 4)
+
+
+def test_near_duplicates_odd_rows(odd, empty):
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(odd, 4).collect())
+    assert [g[1:4] for g in got if g[0]] == [(1, 4, 1), (1, 4, 1), (2, 4, 1), (3, 0, 3), (4, 0, 4), (5, 4, 5), (6, 0, 6)]
+    assert got[0][3] is None and got[0][4]
+    assert minhash.near_duplicates(empty, 4).count() == 0
+    kept = minhash.keep_one(odd)
+    assert kept.columns == odd.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6]
+
+
+def test_sketches_merge_and_estimate():
+    values = minhash.mix(np.arange(3000, dtype=np.uint64))
+    sketch = minhash.Sketcher(2048)
+    a, b = values[:2000], values[500:2500]
+    assert (np.maximum(sketch(a), sketch(b)) == sketch(np.union1d(a, b))).all()
+    x, y = sketch(a), sketch(b)
+    grid = np.linspace(0, 1, 101)
+    best = grid[minhash.log_likelihood((x > y).sum(), (x < y).sum(), 2000.0, 2000.0, grid, 2048).argmax()]
+    assert abs(best - 0.6) < 0.05
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    known = {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    rows = toxicity.report(docs, labels).collect()
+    assert all(r["held_out"] == crc(r["doc_id"], 4) and 0 <= r["score"] <= 1 for r in rows)
+    held = Counter((known[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and r["doc_id"] in known)
+    assert held[0, 1] <= 0.05 * (held[0, 0] + held[0, 1]) and held[1, 1] >= 0.6 * (held[1, 0] + held[1, 1])
+
+
+def test_toxicity_odd_rows(spark, odd, empty):
+    labels = table(spark, SF, "labels")
+    assert toxicity.report(odd, labels).count() == 8 and toxicity.report(empty, labels).count() == 0
+    none = toxicity.report(odd, labels.limit(0)).collect()
+    assert {(r["score"], r["predicted"]) for r in none} == {(0.0, 0)}
+    assert toxicity.keep_clean(odd, labels.limit(0)).collect() == odd.collect()
+
+
+def test_fingerprints(spark, texts, odd, empty):
+    rows = run(spark, "op3_order_minhash")
+    order = sorted(texts, reverse=True)
+    following = dict(zip(order, order[1:] + order[:1], strict=True))
+    prints = {}
+    for r in rows:
+        text, half = texts[r["doc_id"]], len(texts[r["doc_id"]]) // 2
+        edited = text[: len(text) - half] + texts[following[r["doc_id"]]][:half]
+        assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
+    assert len(rows) == len(texts) and np.mean([r["near_edited"] > r["near_next"] for r in rows]) > 0.9
+    from tierflow.llm import order_minhash
+
+    assert order_minhash.fingerprints(odd).count() == 8 and order_minhash.fingerprints(empty).count() == 0
+    alone = order_minhash.fingerprints(odd.filter("doc_id = 5")).collect()
+    assert [(r["n_chars"], r["near_next"]) for r in alone] == [(len(LONG), 1.0)]
+
+
+def test_scores_of_the_suffix_tree(spark, texts, odd, empty):
+    tokens = {i: [*t.encode().lower().split(), b""] for i, t in texts.items()}
+    counts = Counter(w for i, ws in tokens.items() if not crc(i, 7) for w in ws)
+    n = sum(counts.values())
+    rows = run(spark, "op4_suffix_tree")
+    assert len(rows) == len(texts)
+    for r in rows:
+        words = tokens[r["doc_id"]]
+        base = sum(np.log10((counts[w] + 1) / (n + len(counts) + 1)) for w in words)
+        assert r["base_score"] == pytest.approx(base) and r["train_tokens"] == n and r["n_tokens"] == len(words)
+        assert r["n_known"] == sum(counts[w] > 0 for w in words) and r["held_out"] == crc(r["doc_id"], 7)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    assert suffix_tree.score(odd).count() == 8 and suffix_tree.score(empty).count() == 0
+
+
+def test_next_word_chances_add_up(monkeypatch, spark):
+    """After "a b" the known words, the end and one unknown word share all the chance there is."""
+    monkeypatch.setattr(suffix_tree, "GAIN", -1e9)
+    train, held = ([i for i in range(300) if crc(i, 7) == h] for h in (False, True))
+    rows = [(i, "a b c d" if n % 2 else "a b d") for n, i in enumerate(train[:40])]
+    # the same text with one more word each; the end after it has a chance of its own, so ask for both places
+    asked = dict(zip(("a b", "a b a", "a b b", "a b c", "a b d", "a b new"), held, strict=False))
+    frame = spark.createDataFrame(rows + [(i, t) for t, i in asked.items()], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in suffix_tree.score(frame).collect()}
+    assert score[asked["a b d"]] > score[asked["a b a"]] and score[asked["a b c"]] > score[asked["a b b"]]
+    assert sum(10 ** score[i] for i in asked.values()) <= 1.0
+
+
+def test_warc_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    got = queries.QUERIES["op5_warc"](spark, SF)
+    want = con.execute(queries.SQL["op5_warc"])
+    names = [d[0] for d in want.description]
+    assert Counter(map(tuple, got.select(*names).collect())) == Counter(want.fetchall())
+
+
+def test_warc_round_trip(spark):
+    big = "x" * 1_000_003
+    pages = [(2, "http://a/ b", "same"), (1, None, "same"), (3, "u\r\nv", None), (4, "u", ""), (None, "n", "same"), (7, "big", big), (1, None, "same")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    digest = lambda s: base64.b32encode(hashlib.sha1(s.encode()).digest()).decode()
+    rows = warc.round_trip(df).collect()
+    got = sorted((r["page_id"] or 0, r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"] or 0) for r in rows)
+    same = (4, digest("same"))
+    want = [(0, *same, "response", 0), (1, *same, "response", 0), (1, *same, "response", 0), (2, *same, "revisit", 1)]
+    want += [(3, 0, digest(""), "response", 0), (4, 0, digest(""), "revisit", 3), (7, 1_000_003, digest(big), "response", 0)]
+    assert got == want and {r["url"] for r in rows} >= {"http://a/ b", "u\r\nv"}
+    chunks = warc.write_chunks(warc.mark_revisits(df), chunk_bytes=1000)
+    parts = defaultdict(list)
+    for r in chunks.orderBy("archive", "record", "chunk").collect():
+        parts[r["archive"]].append(bytes(r["data"]))
+    # the bytes of an archive are a file any reader of the format can walk through by its lengths
+    records = 0
+    for data in map(b"".join, parts.values()):
+        while data:
+            head, _, data = data.partition(b"\r\n\r\n")
+            length = int(re.search(rb"\r\nContent-Length: (\d+)", head)[1])
+            assert head.startswith(b"WARC/1.1\r\n") and data[length : length + 4] == b"\r\n\r\n"
+            data, records = data[length + 4 :], records + 1
+    assert records == 7
+    assert warc.round_trip(df.limit(0)).count() == 0
+
+
+def test_packing(spark, texts, odd, empty):
+    library = Tokenizer.from_file(bpe.resolve(None))
+    for rows, known in ((run(spark, "op6_packing"), texts), (packing.pack(odd).collect(), None)):
+        places = defaultdict(list)
+        for r in rows:
+            places[r["sequence_id"]].append((r["offset"], r["length"]))
+        for found in places.values():
+            end = 0
+            for offset, length in sorted(found):
+                assert offset == end
+                end += length
+            assert end <= 2048
+        total = sum(r["length"] for r in rows)
+        assert len(places) <= -(-total // 2048) * 1.05 + 2
+        if known:
+            want = {}
+            for i, text in known.items():
+                ids = np.array(library.encode(text, add_special_tokens=False).ids + [0], dtype="<u4")
+                for k, at in enumerate(range(0, len(ids), 2048)):
+                    want[i, k] = (at, len(ids[at : at + 2048]), zlib.crc32(ids[at : at + 2048].tobytes()))
+            assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in rows} == want
+    assert packing.pack(empty).count() == 0
+
+
+def test_packing_plan_holds_every_piece():
+    rng = np.random.default_rng(3)
+    histogram = np.bincount(np.clip(rng.lognormal(5.8, 1, 20_000).astype(int), 1, 2048), minlength=2049)
+    found, used = packing.plan(histogram), 0
+    left = histogram.copy()
+    for config, times in found:
+        assert sum(length * n for length, n in config) <= 2048
+        used += times
+        for length, n in config:
+            left[length] -= times * n
+    assert not left.any() and used <= 1.002 * (histogram * np.arange(2049)).sum() / 2048 + 1
+
+
+HARD = ["", "  ", "Hello  World's it's 12 été", "a" * 3000, "ab" * 700, "x<|startoftext|>y <|ENDOFTEXT|> <|endoftext|>",
+        "ΣΑΣ İ ǅ H̱ ﬀ \x85 \x1c  ", "!!!'''''re 's's", "漢字 \U0001f600\U0001f600", "café̀ ŉ ſ's"]
+
+
+def test_codec_equals_the_library(texts):
+    library, codec = Tokenizer.from_file(bpe.resolve(None)), bpe.codec(bpe.resolve(None))
+    rng = np.random.default_rng(1)
+    noise = ["".join(rng.choice(list("abcdeth '!éßİΣK1\t"), 40)) for _ in range(400)]
+    for text in [*HARD, *noise, *texts.values()]:
+        want = library.encode(text, add_special_tokens=False).ids
+        got = [i for piece in bpe.cut(text.encode()) for i in codec.encode(piece)]
+        assert got == want and codec.decode(got) == library.decode(want, skip_special_tokens=False)
+
+
+def test_bpe_digests(spark, texts, odd, empty):
+    library = Tokenizer.from_file(bpe.resolve(None))
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for rows, of in ((run(spark, "op7_bpe"), texts), (bpe.digests(odd).collect(), {r["doc_id"]: r["text"] or "" for r in odd.collect()})):
+        for r in rows:
+            ids = library.encode(of[r["doc_id"]], add_special_tokens=False).ids
+            assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), sha(" ".join(map(str, ids))))
+            assert r["decoded_sha256"] == sha(library.decode(ids, skip_special_tokens=False))
+    assert bpe.digests(empty).count() == 0
+
+
+def test_shards(spark, texts, odd, empty):
+    from tierflow.llm import sharding
+
+    rows = run(spark, "op8_sharding")
+    sizes, slots = Counter(), defaultdict(list)
+    for r in rows:
+        raw = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"]) == (len(raw) + 1, zlib.crc32(raw), "bytes")
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(sizes.values()) - min(sizes.values()) < 0.1 * sum(sizes.values()) / 8
+    assert sharding.shard(odd).count() == 8 and sharding.shard(empty).count() == 0
+
+
+def test_a_large_group_of_equal_texts_is_cut(spark):
+    from tierflow.llm import sharding
+
+    rows = [(i, "copy of it" if i % 3 == 0 else f"text {i}") for i in range(6000)]
+    sizes = Counter()
+    for r in sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        sizes[r["shard"]] += r["size"]
+    assert max(sizes.values()) < 1.02 * sum(sizes.values()) / 8
+
+
+def test_neighbours(spark):
+    from tierflow.llm import spann
+
+    data = table(spark, SF, "embeddings").collect()
+    ids = np.array([r["vec_id"] for r in data])
+    x = np.array([r["embedding"] for r in data], dtype=float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got = defaultdict(list)
+    for r in sorted(run(spark, "op9_spann"), key=lambda r: r["rank"]):
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    hits = 0
+    for i in np.flatnonzero(ids % 50 == 0):
+        score = x @ x[i]
+        score[i] = -2
+        hits += len({v for v, _ in got[ids[i]]} & set(ids[np.argsort(-score)[:5]].tolist()))
+        assert all(abs(s - x[i] @ x[np.flatnonzero(ids == v)[0]]) < 1e-12 for v, s in got[ids[i]])
+    assert hits >= 0.9 * 5 * (ids % 50 == 0).sum()
+    nan = float("nan")
+    rows = [(0, [1.0, 0.0]), (50, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, [0.0, 0.0]), (6, None), (7, [nan, 1.0]), (8, [None, 1.0]), (9, [1.0]), (4, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in spann.nearest(df).collect())
+    assert found == [(0, 1, 3, 1.0), (0, 2, 50, 1.0), (0, 3, 4, 0.0), (50, 1, 0, 1.0), (50, 2, 3, 1.0), (50, 3, 4, 0.0)]
+    assert spann.nearest(df.limit(0)).count() == 0
+
+
+PATTERNS = (
+    ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6),
+    ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+    ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 24),
+)
+
+
+def spans_of(text):
+    found = [(m.start(), k, m.end(), name) for k, (name, pattern, good) in enumerate(PATTERNS) for m in re.finditer(pattern, text, re.A) if good(m)]
+    return ",".join(f"{name}:{start}:{end}" for start, _, end, name in sorted(found))
+
+
+def test_secrets(spark, texts, empty):
+    hard = {
+        -1: "secret=token:abcdef token:'abcdefgh' API_KEY = é passwd:x", -2: "AKIA" + "Z" * 16 + " AKIAAKIA" + "B" * 15,
+        -3: "\U0001f600 " + "0123456789abcdef" * 3 + " apikey=" + "deadbeef" * 4, -4: "",
+    }
+    small = spark.createDataFrame([(i, t) for i, t in hard.items()] + [(9, None)], "doc_id long, text string")
+    for rows, of in ((run(spark, "op10_secrets"), texts), (secret_scan.report(small).collect(), {**hard, 9: ""})):
+        for r in rows:
+            want = spans_of(of[r["doc_id"]])
+            assert r["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+            assert set(filter(None, want.split(","))) <= set(r["spans"].split(","))
+            assert [r["n_assign"], r["n_access"], r["n_hex"]] == [want.count(k) for k in ("assign", "access", "hex:")]
+    assert secret_scan.report(empty).count() == 0
+
+
+def test_random_keys_are_found_and_words_are_not(spark):
+    import random
+
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = [(i, "key " + "".join(rng.choice(letters) for _ in range(48)) + " end") for i in range(20)]
+    rows += [(100 + i, f"https/ThisIsAnOrdinaryLongName{i}InSomeProgram see MODULE_VERSION_NUMBER_{i}_OF_TWENTY") for i in range(200)]
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum("random" in got[i] for i in range(20)) >= 16 and not any("random" in got[100 + i] for i in range(200))
+
+
+def test_redaction(odd, spark):
+    df = spark.createDataFrame([(1, "a token=abcdefgh b " + "0" * 30 + "!", 7, "kept"), (2, None, None, None)], "doc_id long, text string, n_chars long, secrets string")
+    assert sorted(map(tuple, secret_scan.redact(df).collect())) == [(1, "a [secret] b [secret]!", 22, "kept"), (2, None, None, None)]
+    assert secret_scan.redact(odd).columns == odd.columns
+
+
+def test_pipeline(spark):
+    """Each stage does its whole work on what the one before has kept."""
+    docs = table(spark, SF, "documents")
+    columns = docs.columns
+    scored = {r["doc_id"]: r["predicted"] for r in toxicity.report(docs, table(spark, SF, "labels")).collect()}
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "near_dedup", "secrets", "packing"]
+    kept = [docs]
+    for _, function in corpus_pipeline.STAGES:
+        out = function(spark, kept[-1], SF)
+        kept.append(spark.createDataFrame(out.collect(), out.schema))
+    assert all(d.columns == columns for d in kept[:4])
+    rows = [{r["doc_id"]: r["text"] for r in d.collect()} for d in kept[:4]]
+    assert set(rows[1]) == {i for i, p in scored.items() if not p}
+    assert set(rows[2]) == {i for i, (_, c) in classes({i: t or "" for i, t in rows[1].items()}, 5).items() if i == c}
+    assert set(rows[3]) == set(rows[2]) and not any(spans_of(t or "") for t in rows[3].values())
+    want = {(r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in kept[4].collect()}
+    got = {(r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == want and {i for i, *_ in got} == set(rows[3])
