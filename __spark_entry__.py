@@ -50,16 +50,6 @@ def _corpus() -> tuple[dict[str, Query], dict[str, str]]:
 # ---------------------------------------------------------------- inputs
 
 
-def _ready(spark: SparkSession) -> SparkSession:
-    """Pin the session. A local one also gets as many shuffle partitions as it has cores, and smaller
-    ones, so that the cores share the little data there is."""
-    session.pin(spark)
-    if spark.sparkContext.master.startswith("local"):
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
-    return spark
-
-
 def _lake(spark: SparkSession) -> flows.Lake:
     """A database of its own for one query, below the shared scratch folder."""
     return flows.Lake.create(spark, f"lake_{uuid.uuid4().hex}", session.scratch(spark, "lake"))
@@ -172,6 +162,15 @@ def stream_clickstream(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_silver(spark, f"{path}/silver").select(*_SILVER_CLICK_RESULT)
 
 
+def stream_clickstream_backlog(spark: SparkSession, sf: str) -> DataFrame:
+    """The same clicks as a backlog that is taken in many micro-batches, in whatever order the files come."""
+    path = session.scratch(spark, "backlog")
+    shapes.land_clicks(shapes.bronze_clicks(spark, sf), f"{path}/landing")
+    raw = click_stream.click_source(spark, f"{path}/landing", max_files=500)
+    click_stream.ingest_clicks(raw, f"{path}/silver", f"{path}/checkpoint", RUN_TS).awaitTermination()
+    return readers.read_silver(spark, f"{path}/silver").select(*_SILVER_CLICK_RESULT)
+
+
 # ---------------------------------------------------------------- silver
 
 
@@ -322,6 +321,7 @@ _QUERIES: dict[str, Query] = {
     "crm_latest_snapshot": crm_latest_snapshot,
     "incremental_orders": incremental_orders,
     "stream_clickstream": stream_clickstream,
+    "stream_clickstream_backlog": stream_clickstream_backlog,
     # silver
     "dedup_latest": dedup_newest_order,
     "silver_orders": _orders,
@@ -371,7 +371,7 @@ _QUERIES: dict[str, Query] = {
 
 
 def _prepared(query: Query) -> Query:
-    return lambda spark, sf_dir: query(_ready(spark), sf_dir)
+    return lambda spark, sf_dir: query(session.pin(spark), sf_dir)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -623,6 +623,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "incremental_orders": _from_orders("SELECT * FROM silver_orders", "UDNZ"),
         "stream_clickstream": silver_clicks,
+        "stream_clickstream_backlog": silver_clicks,
         "dedup_latest": _with(
             "SELECT * FROM bronze_orders QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, "
             "order_id DESC, total_amount DESC, status DESC, seq DESC, op DESC) = 1",

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": str(base / "warehouse"),

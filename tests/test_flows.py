@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from tierflow import __main__ as command
 from tierflow import session
+from tierflow.functions.cleaning import clean_orders
+from tierflow.operators import quality
 from tierflow.plans import flows
-from tierflow.sources import shapes
+from tierflow.sources import readers, shapes
 from tierflow.sources.readers import CORRUPT
 
 from .conftest import RUN_TS, rows
@@ -55,10 +57,32 @@ def test_a_value_too_large_for_the_export_publishes_nothing(spark, lake):
     assert [rows(spark.table(n)) for n in names] == before
 
 
-def test_corrupt_lines_can_be_kept(spark, lake):
+def test_a_corrupt_export_line_stops_the_refresh(spark, lake):
+    bad = spark.sql(f"SELECT 'C1,?,Yes' AS {CORRUPT}")
+    good = shapes.bronze_crm(spark, SF)
+    flows.refresh_crm(lake, good, RUN_TS)
+    before = rows(spark.table(lake.name("silver_customers")))
+    with pytest.raises(quality.QualityError):
+        flows.refresh_crm(lake, good.unionByName(bad, allowMissingColumns=True), RUN_TS)
+    assert rows(spark.table(lake.name("silver_customers"))) == before
+    assert rows(spark.table(lake.name("rejected_customers")), CORRUPT) == [("C1,?,Yes",)]
+    report = spark.table(lake.name("dq_results")).filter("context = 'crm-bronze'")
+    assert rows(report, "outcome", "failing_rows") == [("Failed", 1)]
+    flows.refresh_crm(lake, good.unionByName(bad, allowMissingColumns=True), RUN_TS, allow_corrupt=True)
+
+
+def test_orders_are_read_in_the_types_they_landed_in(spark, tmp_path):
+    full = "SELECT '1' AS order_id, 'c' AS customer_id, timestamp'2024-01-02 03:04:05' AS order_date, cast(12.50 AS decimal(10,2)) AS total_amount, 'completed' AS status"
+    spark.sql(full).write.parquet(str(tmp_path / "orders" / "full"))
+    spark.sql(full.replace("12.50", "99.99") + ", 7L AS seq, 'U' AS op").write.parquet(str(tmp_path / "orders" / "changes"))
+    landed = readers.read_orders(spark, str(tmp_path / "orders" / "*"))
+    assert rows(clean_orders(landed, RUN_TS), "order_id", "total_amount", "order_year", "order_month") == [("1", 99.99, 2024, 1)]
+
+
+def test_corrupt_lines_are_kept(spark, lake):
     bad = spark.sql(f"SELECT '{{broken' AS {CORRUPT}")
     bronze = shapes.bronze_clicks(spark, SF).unionByName(bad, allowMissingColumns=True)
-    flows.refresh_clicks(lake, bronze, RUN_TS, keep_corrupt=True)
+    flows.refresh_clicks(lake, bronze, RUN_TS)
     assert rows(spark.table(lake.name("rejected_clicks")), CORRUPT) == [("{broken",)]
     assert CORRUPT not in spark.table(lake.name("silver_clicks")).columns
 
@@ -97,7 +121,9 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         class sparkContext:
             master = "yarn"
 
-    with pytest.raises(RuntimeError):
-        session.scratch(Session(), "x")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        Session.sparkContext.master = master
+        with pytest.raises(RuntimeError):
+            session.scratch(Session(), "x")
     Session.sparkContext.master = "local[2]"
     assert "/x-" in session.scratch(Session(), "x")

@@ -48,26 +48,40 @@ def clicks(spark, tmp_path):
     return Clicks(spark, tmp_path)
 
 
-@pytest.mark.parametrize("salts", [0, 4])
-def test_duplicates_within_and_across_runs(clicks, salts):
-    once = cs.within_watermark(salts=salts)
+def test_duplicates_within_and_across_runs(clicks):
     clicks.deliver(_line("1", "2024-01-02T10:00:00Z"), _line("1", "2024-01-02T10:00:00Z"), _line("2", "2024-01-02T11:00:00Z"))
-    clicks.run(dedup=once)
+    clicks.run()
     clicks.deliver(_line("2", "2024-01-02T11:00:00Z"), _line("3", "2024-01-02T12:00:00Z"))
-    clicks.run(dedup=once)
-    clicks.run(dedup=once)
+    clicks.run()
+    clicks.run()
     assert clicks.silver() == [("1",), ("2",), ("3",)]
 
 
-def test_late_rows_are_dropped_beyond_the_watermark(clicks):
+def test_late_rows_are_kept_however_late(clicks):
     clicks.deliver(_line("now", "2024-01-20T10:00:00Z"))
     clicks.run()
     clicks.deliver(_line("nine days", "2024-01-11T10:00:00Z"), _line("twelve hours", "2024-01-19T22:00:00Z"))
     clicks.run()
-    assert clicks.silver() == [("now",), ("twelve hours",)]
-    # The batch refresh, which reads everything, has them all.
-    bronze, _ = split_corrupt(read_clicks(clicks.spark, str(clicks.root / "landing"), folders=False))
-    assert clean_clicks(bronze, RUN_TS).count() == 3
+    assert clicks.silver() == [("nine days",), ("now",), ("twelve hours",)]
+
+
+def test_a_backlog_in_any_order_of_files_is_kept_whole(clicks):
+    """Files of forty days, newest and oldest mixed, two to a micro-batch, some lines delivered twice."""
+    days = sorted(range(40), key=lambda d: (d * 17) % 40)
+    for n, d in enumerate(days):
+        stamp = f"2024-0{1 + d // 28}-{1 + d % 28:02d}T10:00:00Z"
+        again = [_line(f"{days[n - 3]}-0", f"2024-0{1 + days[n - 3] // 28}-{1 + days[n - 3] % 28:02d}T10:00:00Z")] if n % 4 == 3 else []
+        clicks.deliver(*(_line(f"{d}-{i}", stamp) for i in range(5)), *again)
+    clicks.run(source={"max_files": 2})
+    assert clicks.silver() == sorted((f"{d}-{i}",) for d in days for i in range(5))
+
+
+def test_a_micro_batch_run_again_adds_nothing(clicks, spark):
+    clicks.deliver(_line("1", "2024-01-02T10:00:00Z"), _line(None, "2024-01-02T11:00:00Z"))
+    clicks.run()
+    bronze, _ = split_corrupt(read_clicks(spark, str(clicks.root / "landing"), folders=False))
+    cs.append_new(bronze, str(clicks.root / "silver"), RUN_TS)
+    assert clicks.silver() == [(None,), ("1",)]
 
 
 def test_rejects_keep_corrupt_and_untimed_lines(clicks):

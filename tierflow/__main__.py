@@ -7,8 +7,7 @@ from datetime import date, datetime, timezone
 
 from . import session
 from .plans import flows
-from .schemas import BRONZE_ORDER_CHANGES
-from .sources.readers import read_clicks, read_crm, read_parquet
+from .sources.readers import read_clicks, read_crm, read_orders
 from .streaming.orders import create_orders_table, ingest_orders, order_changes
 
 
@@ -46,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "silver":
         flows.run_silver(
             lake,
-            read_parquet(spark, args.orders, BRONZE_ORDER_CHANGES),
+            read_orders(spark, args.orders),
             read_clicks(spark, args.clicks),
             read_crm(spark, args.crm),
             run_ts,

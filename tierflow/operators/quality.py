@@ -36,6 +36,17 @@ class Complete:
         return F.col(self.column).isNull()
 
 
+@dataclass(frozen=True)
+class Absent:
+    """Only NULL in the column, as in the column of lines that did not parse."""
+
+    column: str
+    name = "absent"
+
+    def fails(self) -> Column:
+        return F.col(self.column).isNotNull()
+
+
 @dataclass(frozen=True)
 class Above:
     """Every value greater than ``bound`` (or equal, if ``inclusive``); NULL fails."""
@@ -72,7 +83,7 @@ class Unique:
     name = "unique"
 
 
-Rule = Complete | Above | OneOf | Unique
+Rule = Complete | Absent | Above | OneOf | Unique
 
 # The states an order can have once cleaned.
 ORDER_STATES = ("COMPLETED", "PENDING", "RETURNED")

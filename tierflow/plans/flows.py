@@ -49,6 +49,19 @@ def _quality_check(lake: Lake, rules: Sequence[quality.Rule], context: str, run_
 # ---------------------------------------------------------------- bronze to silver
 
 
+def _set_aside(lake: Lake, bronze: DataFrame, rejects: str, context: str, run_ts: datetime, allowed: bool) -> DataFrame:
+    """The rows that fitted the schema. The other lines are published as ``rejects`` and reported; unless
+    ``allowed`` one of them stops the job."""
+    if CORRUPT not in bronze.columns:
+        return bronze
+    good, corrupt = split_corrupt(bronze)
+    kept = publish(corrupt, lake.name(rejects), run_ts, fmt=lake.fmt)
+    report = quality.record(quality.evaluate(kept, [quality.Absent(CORRUPT)], context, run_ts), lake.name("dq_results"))
+    if not allowed:
+        quality.gate(report, context)
+    return good
+
+
 def refresh_orders(
     lake: Lake, bronze: DataFrame, run_ts: datetime, rules: Sequence[quality.Rule] = quality.ORDER_RULES
 ) -> DataFrame:
@@ -63,13 +76,10 @@ def refresh_clicks(
     bronze: DataFrame,
     run_ts: datetime,
     rules: Sequence[quality.Rule] = quality.CLICK_RULES,
-    keep_corrupt: bool = False,
+    allow_corrupt: bool = True,
 ) -> DataFrame:
-    """``keep_corrupt`` also publishes the lines that were no JSON, at the price of parsing twice."""
-    if CORRUPT in bronze.columns:
-        bronze, corrupt = split_corrupt(bronze)
-        if keep_corrupt:
-            publish(corrupt, lake.name("rejected_clicks"), run_ts, fmt=lake.fmt)
+    """Lines that were no JSON are published as ``rejected_clicks`` and counted in the report."""
+    bronze = _set_aside(lake, bronze, "rejected_clicks", "clicks-bronze", run_ts, allow_corrupt)
     silver = clean_clicks(bronze, run_ts)
     check = _quality_check(lake, rules, "clicks-silver", run_ts)
     with sized_shuffles(bronze.sparkSession, bronze):
@@ -77,10 +87,15 @@ def refresh_clicks(
 
 
 def refresh_crm(
-    lake: Lake, bronze: DataFrame, run_ts: datetime, rules: Sequence[quality.Rule] = quality.CRM_RULES
+    lake: Lake,
+    bronze: DataFrame,
+    run_ts: datetime,
+    rules: Sequence[quality.Rule] = quality.CRM_RULES,
+    allow_corrupt: bool = False,
 ) -> DataFrame:
-    if CORRUPT in bronze.columns:
-        bronze, _ = split_corrupt(bronze)
+    """A line that does not parse may be a customer's newest version, without which an older one would be
+    published; so by default it stops the refresh. All such lines are published as ``rejected_customers``."""
+    bronze = _set_aside(lake, bronze, "rejected_customers", "crm-bronze", run_ts, allow_corrupt)
     silver = clean_crm(bronze, run_ts)
     check = _quality_check(lake, rules, "crm-silver", run_ts)
     with sized_shuffles(bronze.sparkSession, bronze):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,27 +12,30 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. UTC makes dates and hours independent of the machine zone.
-# Rebalanced writes and coalesced shuffles aim at the advisory size.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Stream state on the executors' disks instead of their heaps: it holds a day of event keys.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
 }
 
+# What rebalanced writes and coalesced shuffles aim at, where the caller asks for nothing else.
+DEFAULTS = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m"}
+
+UNKNOWN_BYTES = 1 << 60
+
 
 def build(app: str = "tierflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the runtime settings; ``master`` is left to spark-submit when not given."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME, **conf}.items():
+    for key, value in {**DEFAULTS, **RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return pin(builder.getOrCreate())
 
@@ -54,12 +58,12 @@ def require_utc(spark: SparkSession) -> None:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder name below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to the machine's temporary folder; on a
-    cluster it would not survive the loss of an executor, so there it is an error.
+    Only a session of one process without that setting falls back to the machine's temporary folder; on
+    a cluster, also one of local processes, it would not survive an executor, so there it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tierflow-")
     return f"{base.rstrip('/')}/tierflow/{label}-{uuid.uuid4().hex}"
@@ -73,8 +77,10 @@ def sized_shuffles(
     ``target_bytes`` per partition, when rows take ``growth`` times the bytes of their files. Only ever
     raises it: adaptive execution merges what turns out small."""
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    estimate = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
-    wanted = max(before, min(math.ceil(estimate * growth / target_bytes), 100_000))
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs]
+    # a size in exabytes is how a plan without statistics says that it does not know
+    estimate = sum(size for size in sizes if size < UNKNOWN_BYTES)
+    wanted = max(before, math.ceil(estimate * growth / target_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     try:
         yield wanted

@@ -14,6 +14,14 @@ def read_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def read_orders(spark: SparkSession, path: str) -> DataFrame:
+    """Landed orders in the types their files have: dates as timestamps or text, amounts as decimals or
+    doubles; files of a full load, without the columns of the change log, beside change files. The clean-up
+    reads dates from text and converts amounts."""
+    orders = spark.read.option("mergeSchema", True).parquet(path)
+    return orders.withColumn("order_date", F.col("order_date").cast("string"))
+
+
 def click_schema(folders: bool = True) -> str:
     """Clicks, the corrupt line, and the delivery folders as integer columns."""
     schema = f"{BRONZE_CLICKS}, {CORRUPT} string"

@@ -1,15 +1,16 @@
-"""Clickstream ingestion as a stream: the batch clean-up with a watermarked dedup."""
+"""Clickstream ingestion as a stream: the batch clean-up, and no event twice in the table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.cleaning import Dedup, clean_clicks
+from ..functions.cleaning import clean_clicks
 from ..sources.readers import CORRUPT, click_schema
 
 # How often and how much the delivery writes.
@@ -33,31 +34,6 @@ def click_source(
     return reader.json(path)
 
 
-def within_watermark(
-    delay: str = "24 hours", keys: Sequence[str] = ("event_id",), salts: int = 16
-) -> Dedup:
-    """Stream dedup: the first delivery of a key stays while the watermark remembers it.
-
-    State is bounded by ``delay``. Rows later than that are dropped here and come back with the next
-    batch refresh. Rows without an event time would pass unchecked, so they are left to the rejects.
-
-    The copies of one event may be a large part of a micro-batch. With ``salts`` above 1 they are
-    first reduced to one per salt, spread over the state partitions, and then to one.
-    """
-
-    def dedup(timed: DataFrame) -> DataFrame:
-        marked = timed.filter(F.col("event_ts").isNotNull()).withWatermark("event_ts", delay)
-        if salts > 1:
-            marked = (
-                marked.withColumn("_salt", F.spark_partition_id() % salts)
-                .dropDuplicatesWithinWatermark([*keys, "_salt"])
-                .drop("_salt")
-            )
-        return marked.dropDuplicatesWithinWatermark([*keys])
-
-    return dedup
-
-
 def _start(df: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str], interval: str | None) -> StreamingQuery:
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
@@ -66,25 +42,59 @@ def _start(df: DataFrame, target: str, checkpoint: str, partition_by: Sequence[s
     return writer.trigger(**trigger).start(target)
 
 
+def append_new(batch: DataFrame, target: str, run_ts: datetime | None = None, files_per_batch: int | None = None) -> None:
+    """Clean the clicks of one micro-batch and add those whose event the target does not have.
+
+    A click is new when the partition of its date has no such event; only the dates of the micro-batch are
+    read. So nothing depends on the order files arrive in, and a micro-batch that is run again after its
+    files were committed adds nothing. Copies within a micro-batch are reduced first, by the batch clean-up.
+    """
+    spark = batch.sparkSession
+    clean = clean_clicks(batch, run_ts).filter(F.col("event_ts").isNotNull()).persist()
+    try:
+        # one value per date in the micro-batch
+        dates = [r["event_date"] for r in clean.select("event_date").distinct().collect()]
+        try:
+            known = spark.read.schema("event_id string, event_date date").parquet(target)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            new = clean
+        else:
+            known = known.filter(F.col("event_date").isin(dates)).select(
+                F.col("event_id").alias("known_id"), F.col("event_date").alias("known_date")
+            )
+            same = F.col("event_id").eqNullSafe(F.col("known_id")) & (F.col("event_date") == F.col("known_date"))
+            new = clean.join(known, same, "left_anti")
+        if files_per_batch is not None:
+            new = new.repartition(files_per_batch, "event_id")
+        if dates:
+            new.write.mode("append").partitionBy("event_date").parquet(target)
+    finally:
+        clean.unpersist()
+
+
 def ingest_clicks(
     raw: DataFrame,
     target: str,
     checkpoint: str,
     run_ts: datetime | None = None,
-    dedup: Dedup | None = None,
     interval: str | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start the stream from bronze files to silver clicks partitioned by ``event_date``.
 
-    Without ``interval`` it takes what is there and stops. ``files_per_batch`` bounds the number of
-    files a micro-batch writes per date where the number of state partitions is much larger.
+    Without ``interval`` it takes what is there and stops; ``FLUSH_INTERVAL`` and a source of ``FLUSH_BYTES``
+    give the delivery's own policy. ``files_per_batch`` bounds the number of files a micro-batch writes per date.
     """
     rows = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    clean = clean_clicks(rows, run_ts, dedup or within_watermark())
-    if files_per_batch is not None:
-        clean = clean.repartition(files_per_batch, "event_id")
-    return _start(clean, target, checkpoint, ["event_date"], interval)
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    return (
+        rows.writeStream.foreachBatch(lambda batch, _: append_new(batch, target, run_ts, files_per_batch))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
 
 
 def ingest_rejects(raw: DataFrame, target: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
