@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tierflow import __main__ as command
 from tierflow import session
 from tierflow.functions.cleaning import clean_orders
-from tierflow.operators import quality
+from tierflow.operators import quality, sinks
 from tierflow.plans import flows
 from tierflow.sources import readers, shapes
 from tierflow.sources.readers import CORRUPT
@@ -55,6 +55,19 @@ def test_a_value_too_large_for_the_export_publishes_nothing(spark, lake):
     with pytest.raises(ArithmeticException):
         flows.run_gold(spark, lake, AS_OF, RUN_TS)
     assert [rows(spark.table(n)) for n in names] == before
+    assert [len(sinks.versions(spark, n)) for n in names] == [1, 1]
+
+
+def test_profile_and_export_move_after_both_are_checked(spark, lake, monkeypatch):
+    flows.run_silver(lake, *_bronze(spark), RUN_TS)
+    steps, store = [], flows.store
+    monkeypatch.setattr(flows, "store", lambda *a, **k: steps.append("store") or store(*a, **k))
+    monkeypatch.setattr(flows, "move", lambda spark, targets, **k: steps.extend(targets) or sinks.move(spark, targets, **k))
+    flows.run_gold(spark, lake, AS_OF, RUN_TS)
+    names = [lake.name("customer_profile"), lake.name("profile_export")]
+    assert steps == ["store", "store", *names]
+    noted = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {names[1]}").collect()}
+    assert noted["source"] == sinks.current_version(spark, names[0])
 
 
 def test_a_corrupt_export_line_stops_the_refresh(spark, lake):
@@ -101,6 +114,9 @@ def test_command_line(spark, lake, tmp_path):
     state = ["--changes", paths["orders"], "--root", str(tmp_path / "state"), "--checkpoint", str(tmp_path / "check")]
     command.main([*common, "orders", *state])
     assert spark.table(lake.name("warehouse_profile")).count() == spark.table(lake.name("customer_profile")).count() > 0
+    full = rows(spark.table(lake.name("customer_profile")))
+    command.main([*common, "gold", "--as-of", "2001-08-01", "--orders-table", "silver_orders_live"])
+    assert rows(spark.table(lake.name("customer_profile"))) == full
     live = spark.table(lake.name("silver_orders_live"))
     assert rows(live) == rows(spark.table(lake.name("silver_orders")).select(*live.columns))
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def test_refused_refresh_leaves_silver_and_keeps_the_report(spark, lake):
     flows.refresh_orders(lake, _bronze(spark), RUN_TS)
     before = rows(spark.table(lake.name("silver_orders")))
     with pytest.raises(q.QualityError):
-        flows.refresh_orders(lake, _bronze(spark, "shipped"), RUN_TS)
+        flows.refresh_orders(lake, _bronze(spark, "shipped"), RUN_TS + dt.timedelta(hours=1))
     assert rows(spark.table(lake.name("silver_orders"))) == before
     log = spark.table(lake.name("dq_results"))
     assert log.count() == 12
@@ -79,6 +80,43 @@ def test_refused_refresh_leaves_silver_and_keeps_the_report(spark, lake):
     ]
 
 
+def test_a_repeated_run_replaces_its_report_and_others_stay(spark, lake):
+    for status in ("shipped", "completed"):
+        try:
+            flows.refresh_orders(lake, _bronze(spark, status), RUN_TS)
+        except q.QualityError:
+            assert status == "shipped"
+    log = spark.table(lake.name("dq_results"))
+    assert log.count() == 6 and rows(log.select("outcome", "run_ts").distinct()) == [("Passed", RUN_TS)]
+
+
+def test_reports_of_jobs_at_the_same_time_are_all_kept(spark, lake):
+    data = spark.createDataFrame([("a",), (None,)], "email string")
+
+    def job(i):
+        for hour in range(3):
+            run_ts = RUN_TS + dt.timedelta(hours=hour)
+            q.record(q.evaluate(data, [q.Complete("email")], f"job-{i}", run_ts), lake.name("dq_results"))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(job, range(4)))
+    log = spark.table(lake.name("dq_results"))
+    assert log.count() == log.select("context", "run_ts").distinct().count() == 12
+    assert rows(log.select("outcome", "failing_rows").distinct()) == [("Failed", 1)]
+
+
+def test_gold_report_is_kept(spark, lake):
+    crm = spark.createDataFrame([("a", "f", "l", "a@x", "1", "VIP", "1", "2024-01-01", True, "2024-01-01")], BRONZE_CRM)
+    clicks = spark.createDataFrame([("e", "a", "x", None, None, "s", "2024-01-02T00:00:00Z", None, None)], BRONZE_CLICKS)
+    flows.run_silver(lake, _bronze(spark), clicks, crm, RUN_TS)
+    flows.run_gold(spark, lake, dt.date(2024, 3, 1), RUN_TS)
+    log = spark.table(lake.name("dq_results")).filter("context = 'profile'")
+    got = {(r["rule"], r["column"]): (r["outcome"], r["failing_rows"], r["total_rows"]) for r in log.collect()}
+    assert len(got) == 13 and {v[0] for v in got.values()} == {"Passed"}
+    assert got["rows", "orders"] == ("Passed", 0, 9) and got["rows", "gold"] == ("Passed", 0, 1)
+    assert got["null_rate", "email"] == ("Passed", 0, 1) and got["without", "clicks"] == ("Passed", 0, 1)
+
+
 @pytest.mark.parametrize(
     "row, failed",
     [

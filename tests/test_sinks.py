@@ -134,3 +134,37 @@ def test_load_into_a_table_without_buckets(spark, lake):
     fields = [Field("a", "bigint")]
     spark.sql(f"CREATE TABLE {lake.name('plain')} (a bigint) USING parquet")
     assert sinks.load_table(spark.range(3).toDF("a"), lake.name("plain"), fields).count() == 3
+
+
+def test_a_bucketed_table_with_another_layout_is_refused(spark, lake):
+    name = lake.name("warehouse")
+    sinks.create_bucketed_table(spark, name, buckets=2)
+    sinks.create_bucketed_table(spark, name, buckets=2)
+    with pytest.raises(ValueError):
+        sinks.create_bucketed_table(spark, name, buckets=64)
+
+
+def test_a_load_that_fails_while_writing_leaves_the_old_table(spark, lake, export, monkeypatch):
+    source, name = lake.name("export"), lake.name("warehouse")
+    sinks.publish(export, source, RUN_TS)
+    first = sinks.publish_bucketed(spark, source, name, buckets=2)
+    before = rows(spark.table(name))
+    assert first.count() == len(before) == 100
+    sinks.publish(export.limit(10), source, LATER)
+    load = sinks.load_table
+    lost = F.when(F.rand() >= 0, F.raise_error(F.lit("lost"))).otherwise("")
+    monkeypatch.setattr(sinks, "load_table", lambda df, table, mode: df.withColumn("customer_id", lost).write.insertInto(table))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish_bucketed(spark, source, name, buckets=2)
+    assert rows(spark.table(name)) == before and len(sinks.versions(spark, name)) == 1
+    monkeypatch.setattr(sinks, "load_table", load)
+    with pytest.raises(ValueError):
+        sinks.publish_bucketed(spark, source, name, buckets=4)
+    for hour in range(2, 5):
+        reader = spark.table(name)
+        held = reader.count()
+        sinks.publish(export.limit(10 + hour), source, RUN_TS + dt.timedelta(hours=hour))
+        assert sinks.publish_bucketed(spark, source, name).count() == 10 + hour
+        assert reader.count() == held and len(sinks.versions(spark, name)) <= 2
+    counts = spark.table(name).groupBy("customer_id").count()
+    assert "Exchange" not in physical(counts) and counts.count() == 14

@@ -25,9 +25,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
     gold = jobs.add_parser("gold", help="profile and export")
     gold.add_argument("--as-of", type=date.fromisoformat, help="default today")
+    gold.add_argument("--orders-table", default="silver_orders", help="silver_orders_live for the incremental orders")
 
     load = jobs.add_parser("load", help="warehouse table from the export")
-    load.add_argument("--buckets", type=int, default=200)
+    load.add_argument("--buckets", type=int, help="by the rows, when not given")
 
     orders = jobs.add_parser("orders", help="take in new order change files")
     orders.add_argument("--changes", required=True, help="folder the change files land in")
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> None:
             run_ts,
         )
     elif args.job == "gold":
-        flows.run_gold(spark, lake, args.as_of or now.date(), run_ts)
+        flows.run_gold(spark, lake, args.as_of or now.date(), run_ts, args.orders_table)
     elif args.job == "load":
         flows.load_warehouse(spark, lake, args.buckets)
     else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -174,13 +175,33 @@ def evaluate(
 
 
 def record(report: DataFrame, results_table: str) -> DataFrame:
-    """Append a report to the results table and give back exactly the rows that were appended.
+    """Put a report of one context and run into the results table and give back exactly its rows.
 
-    The report is computed once: a handful of rows, one per rule.
+    Each context and run is a partition with a folder of its own attempt: jobs that report at the same time do
+    not touch each other's files, and a run that is repeated replaces its report. The report is computed once:
+    a handful of rows, one per rule.
     """
     spark = report.sparkSession
-    fixed = spark.createDataFrame(report.collect(), report.schema)
-    fixed.coalesce(1).write.mode("append").saveAsTable(results_table)
+    lines = report.withColumn("run_ts", F.col("run_ts").cast("string"))
+    found = lines.collect()
+    fixed = spark.createDataFrame(found, lines.schema).withColumn("run_ts", F.col("run_ts").cast("timestamp"))
+    if not found:
+        return fixed
+    ((context, run_ts),) = {(row["context"], row["run_ts"]) for row in found}
+    stored = [f for f in fixed.schema.fields if f.name not in ("context", "run_ts")]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {results_table} ({columns}, context string, run_ts timestamp) "
+        "USING parquet PARTITIONED BY (context, run_ts)"
+    )
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {results_table}").collect()
+    root = next(r["data_type"] for r in described if r["col_name"] == "Location")
+    folder = f"{root}/report-{uuid.uuid4().hex}"
+    fixed.select(*(f.name for f in stored)).coalesce(1).write.parquet(folder)
+    partition = f"PARTITION (context = '{context}', run_ts = '{run_ts}')"
+    spark.sql(f"ALTER TABLE {results_table} ADD IF NOT EXISTS {partition} LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {results_table} {partition} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(results_table)
     return fixed
 
 
@@ -271,6 +292,36 @@ def validate_gold(counts: DataFrame) -> DataFrame:
     )
 
 
+def gold_report(counts: DataFrame, context: str, run_ts: datetime) -> DataFrame:
+    """The checks of the profile and the NULL rates of its key columns as lines of the results table.
+
+    Lines of ``rows`` and ``null_rate`` tell figures and fail nothing; an id that is NULL fails ``complete``."""
+
+    def line(rule: str, column: str | None, failing, total, holds=None):
+        outcome = F.lit("Passed") if holds is None else F.when(holds, "Passed").otherwise("Failed")
+        return F.struct(
+            F.lit(rule).alias("rule"),
+            F.lit(column).cast("string").alias("column"),
+            outcome.alias("outcome"),
+            failing.cast("long").alias("failing_rows"),
+            total.cast("long").alias("total_rows"),
+        )
+
+    gold, none = F.col("gold_rows"), F.lit(0)
+    beyond = F.greatest(gold - F.col("crm_rows"), none)
+    lines = [
+        line("not_empty", None, none, gold, gold > 0),
+        line("no_fanout", None, beyond, gold, beyond == 0),
+        line("complete", GOLD_KEYS[0], F.col(f"null_{GOLD_KEYS[0]}"), gold, F.col(f"null_{GOLD_KEYS[0]}") == 0),
+        *(line("rows", side, none, F.col(f"{side}_rows")) for side in ("orders", "clicks", "crm", "gold")),
+        *(line("null_rate", c, F.col(f"null_{c}"), gold) for c in GOLD_KEYS),
+        *(line("without", side, F.col(f"without_{side}"), gold) for side in ("orders", "clicks")),
+    ]
+    return counts.select(F.inline(F.array(*lines))).select(
+        "*", F.lit(context).alias("context"), F.lit(run_ts.isoformat(sep=" ")).cast("timestamp").alias("run_ts")
+    )
+
+
 def assert_no_fanout(result: DataFrame, base: DataFrame) -> None:
     """Raise if a join result has more rows than the table it started from. Give it stored tables."""
     sides = result.select(F.lit(1).alias("r")).unionAll(base.select(F.lit(0).alias("r")))

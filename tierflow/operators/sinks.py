@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -15,6 +17,9 @@ from .quality import conformance, gate
 
 Check = Callable[[DataFrame], None]
 
+# Rows a bucket of the warehouse table should have, where the caller names no number of buckets.
+ROWS_PER_BUCKET = 2_000_000
+
 
 def _writer(df: DataFrame, partition_by: Sequence[str], fmt: str) -> DataFrameWriter:
     """Rows of one output folder are brought together first, so a folder gets few files. Rebalancing,
@@ -57,19 +62,58 @@ def publish(
     new one. If a check raises, the view stays as it was and the staged table is dropped. The ``keep``
     newest versions stay, so that queries running on the previous one can finish.
     """
+    version = store(df, name, run_ts, partition_by, checks, fmt)
+    move(df.sparkSession, {name: version}, keep)
+    return df.sparkSession.table(version)
+
+
+def _new_version(name: str, stamp: str) -> str:
+    return f"{name}__{stamp}_{uuid.uuid4().hex[:8]}"
+
+
+def store(
+    df: DataFrame,
+    name: str,
+    run_ts: datetime,
+    partition_by: Sequence[str] = (),
+    checks: Sequence[Check] = (),
+    fmt: str = "parquet",
+) -> str:
+    """Write a version of ``name`` that no reader sees yet and check what was stored; returns the table of the
+    version. If a check raises, that table is dropped."""
     spark = df.sparkSession
-    version = f"{name}__{run_ts:%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
+    version = _new_version(name, f"{run_ts:%Y%m%d%H%M%S}")
     _writer(df, partition_by, fmt).saveAsTable(version)
-    try:
+    with dropped_on_error(spark, version):
         staged = spark.table(version)
         for check in checks:
             check(staged)
+    return version
+
+
+@contextmanager
+def dropped_on_error(spark: SparkSession, version: str) -> Iterator[None]:
+    try:
+        yield
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('version' = '{version}') AS SELECT * FROM {version}")
-    _drop_old_versions(spark, name, version, keep)
-    return spark.table(version)
+
+
+def move(spark: SparkSession, targets: Mapping[str, str], keep: int = 2, source: str | None = None) -> None:
+    """Point each view at its new version, one right after the other, and only then drop old versions.
+    ``source`` is noted on the views: the version they were made from."""
+    for name, version in targets.items():
+        noted = {"version": version, **({"source": source} if source else {})}
+        properties = ", ".join(f"'{k}' = '{v}'" for k, v in noted.items())
+        spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ({properties}) AS SELECT * FROM {version}")
+    for name, version in targets.items():
+        _drop_old_versions(spark, name, version, keep)
+
+
+def current_version(spark: SparkSession, name: str) -> str:
+    """The table that a published name shows now."""
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}["version"]
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
@@ -110,17 +154,54 @@ def create_bucketed_table(
     buckets: int = 200,
 ) -> None:
     """A table with text widths, hashed on one column and sorted inside each bucket. Joins and
-    groupings on the bucket column need no exchange; filters on the sort columns skip row groups."""
+    groupings on the bucket column need no exchange; filters on the sort columns skip row groups. A table that
+    is there already must have this layout."""
     columns = ", ".join(f.ddl for f in fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         f"CLUSTERED BY ({bucket_by}) SORTED BY ({', '.join(sort_by)}) INTO {buckets} BUCKETS"
     )
+    found = _described(spark, name)
+    layout = tuple(found.get(k, "").replace("`", "") for k in ("Num Buckets", "Bucket Columns", "Sort Columns"))
+    if layout != (str(buckets), f"[{bucket_by}]", f"[{', '.join(sort_by)}]"):
+        raise ValueError(f"{name} has another layout: {layout}")
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def publish_bucketed(
+    spark: SparkSession, export: str, name: str, buckets: int | None = None, keep: int = 2
+) -> DataFrame:
+    """Load the current version of ``export`` into the bucketed table ``name`` in place of what it held.
+
+    The rows are loaded into a table of their own; when that is whole, the location of ``name`` moves to it in
+    one catalog operation. A load that fails, in whatever stage, leaves readers on the old rows. (A view would
+    cast columns with a text width, which hides the buckets.) Without ``buckets`` a new table gets as many as
+    its first rows ask for, and a table that is there keeps its own.
+    """
+    source = current_version(spark, export)
+    df = spark.table(source)
+    if spark.catalog.tableExists(name):
+        buckets = buckets or int(_described(spark, name)["Num Buckets"])
+        create_bucketed_table(spark, name, buckets=buckets)
+    elif buckets is None:
+        buckets = max(1, math.ceil(df.count() / ROWS_PER_BUCKET))
+    version = _new_version(name, source.rpartition("__")[2].partition("_")[0])
+    create_bucketed_table(spark, version, buckets=buckets)
+    with dropped_on_error(spark, version):
+        load_table(df, version, mode="append")
+    create_bucketed_table(spark, name, buckets=buckets)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{_described(spark, version)['Location']}'")
+    spark.catalog.refreshTable(name)
+    _drop_old_versions(spark, name, version, keep)
+    return spark.table(name)
 
 
 def load_table(df: DataFrame, name: str, fields: Sequence[Field] = EXPORT, mode: str = "replace") -> DataFrame:
-    """Check the columns, then load. 'replace' gives the same table however often it is run; 'append'
-    adds to it.
+    """Check the columns, then load. 'replace' gives the same table however often it is run, but deletes the old
+    files before it writes: where readers must be safe use ``publish_bucketed``. 'append' adds to the table.
 
     Rows are hashed as the buckets are before they are written, so each bucket is written by one task
     as one file. The bucket column is the key of the export, one row each.
@@ -129,7 +210,7 @@ def load_table(df: DataFrame, name: str, fields: Sequence[Field] = EXPORT, mode:
         raise ValueError(f"unknown mode {mode}")
     conforms(fields)(df)
     spark = df.sparkSession
-    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    described = _described(spark, name)
     if "Num Buckets" in described:
         df = df.repartition(int(described["Num Buckets"]), described["Bucket Columns"].strip("[]`"))
     df.write.insertInto(name, overwrite=mode == "replace")

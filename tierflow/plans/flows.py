@@ -16,7 +16,17 @@ from ..functions.cleaning import at, clean_clicks, clean_crm, clean_orders
 from ..functions.features import click_features, customer_features, rfm_features
 from ..functions.scoring import churn_risk, rfm_segment
 from ..operators import quality
-from ..operators.sinks import Check, conforms, create_bucketed_table, create_database, load_table, publish, to_export
+from ..operators.sinks import (
+    Check,
+    conforms,
+    create_database,
+    dropped_on_error,
+    move,
+    publish,
+    publish_bucketed,
+    store,
+    to_export,
+)
 from ..session import sized_shuffles
 from ..sources.readers import CORRUPT, split_corrupt
 
@@ -127,32 +137,38 @@ def customer_profile(
     return rfm_segment(churn_risk(features)).withColumn("updated_at", at(run_ts))
 
 
-def run_gold(spark: SparkSession, lake: Lake, as_of: date, run_ts: datetime) -> tuple[DataFrame, DataFrame]:
+def run_gold(
+    spark: SparkSession, lake: Lake, as_of: date, run_ts: datetime, orders_table: str = "silver_orders"
+) -> tuple[DataFrame, DataFrame]:
     """Profile and typed export; meant to run daily.
 
     Four jobs: write the profile, check it, write the export from the stored profile, check that. Only
-    then both are published, so a value the export cannot hold keeps the old profile in place too. The
-    silver tables are resolved once, so a silver refresh meanwhile does not mix versions.
+    then both views move, as the last two statements, so a value the export cannot hold keeps the old profile
+    in place too. The report of the checks is kept in ``dq_results`` whatever it says. The silver tables are
+    resolved once, so a silver refresh meanwhile does not mix versions. ``orders_table`` may be the live view
+    of incremental orders.
     """
-    orders, clicks, crm = (spark.table(lake.name(f"silver_{t}")) for t in ("orders", "clicks", "customers"))
+    orders, clicks, crm = (spark.table(lake.name(t)) for t in (orders_table, "silver_clicks", "silver_customers"))
 
     def check(staged: DataFrame) -> None:
-        quality.gate(quality.validate_gold(quality.gold_counts(staged, crm, orders, clicks)), "profile")
-
-    def export(staged: DataFrame) -> None:
-        # Plain Parquet whatever the lake's own format is: the readers of the export know nothing else.
-        publish(to_export(staged), lake.name("profile_export"), run_ts, checks=[conforms()])
+        counts = quality.gold_counts(staged, crm, orders, clicks)
+        report = quality.gold_report(counts, "profile", run_ts)
+        quality.gate(quality.record(report, lake.name("dq_results")), "profile")
 
+    gold_name, export_name = lake.name("customer_profile"), lake.name("profile_export")
     profile = customer_profile(crm, orders, clicks, as_of, run_ts)
     with sized_shuffles(spark, orders, clicks, crm):
-        gold = publish(profile, lake.name("customer_profile"), run_ts, checks=[check, export], fmt=lake.fmt)
-    return gold, spark.table(lake.name("profile_export"))
+        gold = store(profile, gold_name, run_ts, checks=[check], fmt=lake.fmt)
+        with dropped_on_error(spark, gold):
+            # Plain Parquet whatever the lake's own format is: the readers of the export know nothing else.
+            export = store(to_export(spark.table(gold)), export_name, run_ts, checks=[conforms()])
+    move(spark, {gold_name: gold, export_name: export}, source=gold)
+    return spark.table(gold), spark.table(export)
 
 
 # ---------------------------------------------------------------- gold to warehouse
 
 
-def load_warehouse(spark: SparkSession, lake: Lake, buckets: int = 200) -> DataFrame:
+def load_warehouse(spark: SparkSession, lake: Lake, buckets: int | None = None) -> DataFrame:
     """The bucketed warehouse table, replaced from the published export."""
-    create_bucketed_table(spark, lake.name("warehouse_profile"), buckets=buckets)
-    return load_table(spark.table(lake.name("profile_export")), lake.name("warehouse_profile"))
+    return publish_bucketed(spark, lake.name("profile_export"), lake.name("warehouse_profile"), buckets)
