@@ -177,6 +177,21 @@ def test_incremental_equals_full_refresh_in_any_order_of_arrival(orders):
     assert orders.live() == orders.full()
 
 
+@pytest.mark.parametrize("swapped", [False, True])
+def test_ties_of_one_sequence_number_end_as_in_a_full_refresh(orders, swapped):
+    pairs = [
+        (_change("1", "2024-01-05", 1.0, 1, status="completed"), _change("1", "2024-01-05", 1.0, 1, status="Returned")),
+        (_change("2", "2024-01-05", 1.0, 1), _change("2", "2024-02-05", 1.0, 1)),
+        (_change("3", "2024-01-05", 1.0, 1), _change("3", "2024-01-05", 1.0, 1, "D")),
+        (_change("4", "2024-01-05", 1.0, 1), _change("4", "2024-01-05", 2.0, 1)),
+    ]
+    for i in (1, 0) if swapped else (0, 1):
+        orders.deliver(*(pair[i] for pair in pairs))
+        orders.run()
+    assert orders.live() == orders.full()
+    assert orders.live("order_id", "status")[0] == ("1", "RETURNED")
+
+
 def test_a_batch_run_again_changes_nothing(orders, spark):
     orders.deliver(*(_change(str(i), f"2024-0{i % 3 + 1}-05", float(i + 1), i) for i in range(12)))
     orders.run()

@@ -46,6 +46,10 @@ def usable_order() -> Column:
     return F.col("order_id").isNotNull() & F.col("customer_id").isNotNull() & (F.col("total_amount") > 0)
 
 
+# What decides between rows of one order with the same sequence number, on cleaned values: the larger wins.
+ORDER_TIES = ("customer_id", "order_date", "total_amount", "status")
+
+
 def clean_orders(
     bronze: DataFrame,
     run_ts: datetime,
@@ -55,17 +59,19 @@ def clean_orders(
     filter_first: Column | None = None,
 ) -> DataFrame:
     """Silver orders. A change log (``sequence`` and ``op_col`` present) is reduced to its current
-    state in the same exchange that removes duplicates; a plain table works too."""
+    state in the same exchange that removes duplicates; a plain table works too. ``filter_first`` sees the
+    rows as they landed. Ties are broken on cleaned values, as the incremental table does."""
+    if filter_first is not None:
+        bronze = bronze.filter(filter_first)
+    versions = conform_orders(bronze)
+    first = [*ORDER_TIES, *(c for c in (op_col,) if c in bronze.columns)]
+    others = [c for c in versions.columns if c not in ("order_id", sequence, *first)]
     newest = dedup_latest(
-        bronze, ["order_id"], [c for c in (sequence,) if c in bronze.columns], filter_first=filter_first
+        versions, ["order_id"], [c for c in (sequence,) if c in bronze.columns], tie_break=[*first, *others]
     )
     if op_col in bronze.columns:
         newest = newest.filter(~F.col(op_col).eqNullSafe(F.lit(delete_value)))
-    return (
-        conform_orders(newest.drop(sequence, op_col))
-        .filter(usable_order())
-        .withColumn("processed_at", at(run_ts))
-    )
+    return newest.drop(sequence, op_col).filter(usable_order()).withColumn("processed_at", at(run_ts))
 
 
 # ---------------------------------------------------------------- clickstream

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.cleaning import at, conform_orders, usable_order
+from ..functions.cleaning import ORDER_TIES, at, conform_orders, usable_order
 from ..operators.dedup import dedup_latest
 from ..operators.quality import ORDER_RULES, Rule, evaluate, gate
 from ..operators.sinks import overwrite
@@ -95,6 +95,11 @@ def _within(partitions: Sequence[Sequence]):
     return F.struct(*PARTITIONS).isin(*(F.struct(*(F.lit(v) for v in row)) for row in partitions))
 
 
+def _newest(versions: DataFrame) -> DataFrame:
+    """One row per order, as a full refresh picks it; of equal rows the one that was taken in first."""
+    return dedup_latest(versions, ["order_id"], ["seq"], tie_break=[*ORDER_TIES, "op", F.col("processed_at").asc()])
+
+
 def upsert_orders(
     changes: DataFrame,
     table: str,
@@ -117,7 +122,7 @@ def upsert_orders(
     spark = changes.sparkSession
     spark.catalog.refreshTable(table)
     current = spark.table(table)
-    incoming = dedup_latest(_as_state(changes, run_ts, delete_value), ["order_id"], ["seq"]).persist()
+    incoming = _newest(_as_state(changes, run_ts, delete_value)).persist()
     try:
         held = current.select("order_id", *PARTITIONS).join(incoming.select("order_id"), "order_id", "left_semi")
         touched = incoming.select(*PARTITIONS).unionAll(held.select(*PARTITIONS)).distinct().collect()
@@ -125,7 +130,7 @@ def upsert_orders(
             return
         # Live rows without a date have no partition to go to; the gate below stops them.
         placed = [tuple(row) for row in touched if None not in tuple(row)]
-        merged = dedup_latest(current.filter(_within(placed)).unionByName(incoming), ["order_id"], ["seq"])
+        merged = _newest(current.filter(_within(placed)).unionByName(incoming))
         stage = f"{root}/{batch}-{uuid.uuid4().hex}"
         overwrite(merged, stage, PARTITIONS)
     finally:
