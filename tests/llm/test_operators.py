@@ -328,6 +328,23 @@ def test_neighbours(spark):
     assert spann.nearest(df.limit(0)).count() == 0
 
 
+def test_neighbours_among_near_copies(spark):
+    """Hundreds of vectors closer to each other than single precision can tell."""
+    from tierflow.llm import spann
+
+    rng = np.random.default_rng(11)
+    x = (rng.normal(size=64) * (1 + 1e-5 * rng.normal(size=(400, 64)))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    x = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    got = defaultdict(list)
+    for r in sorted(spann.nearest(df).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append(r["vec_id"])
+    for i in range(0, 400, 50):
+        score = x @ x[i]
+        score[i] = -2
+        assert score[got[i]] == pytest.approx(np.sort(score)[:-6:-1], rel=0, abs=1e-15)
+
+
 PATTERNS = (
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6),
     ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),

@@ -4,7 +4,8 @@ Centroids of a bounded sample are kept about equally loaded and joined into a ne
 searched best-first. A vector is posted to its nearest centroid and, near a boundary, to others about as
 close. A query reads the lists whose centroids are within a ratio of its nearest one's distance. Posting
 lists are split by a hash when many vectors or queries share one, and their pieces are compared as matrices.
-Candidates are scored again on the original vectors in double precision.
+Products are taken in double precision and the nearest are exact for the lists read; near copies that differ by
+less than double rounding are ties.
 
 Equal vectors are one entry, with its smallest ids; so a group of copies does not fill lists, and its members
 are found together. Vectors that are null, zero, or hold a null or a number that is not finite take no part,
@@ -103,7 +104,7 @@ def search_graph(x: np.ndarray, centres: np.ndarray, links: np.ndarray, starts:
 def unit(values: list) -> np.ndarray:
     x = np.array(values, dtype=np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)
-    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def lists_of(vectors: DataFrame, centres: np.ndarray, ratio: float, least: int, most: int | None) -> DataFrame:
@@ -115,7 +116,7 @@ def lists_of(vectors: DataFrame, centres: np.ndarray, ratio: float, least: int,
         def step(batch):
             if not batch.num_rows:
                 return
-            x = unit(batch.column(1).to_pylist())
+            x = unit(batch.column(1).to_pylist()).astype(np.float32)
             ids, score = search_graph(x, centres, links, starts)
             distance = np.sqrt(np.maximum(0, 2 - 2 * score.astype(np.float64)))
             chosen = distance <= ratio * distance[:, :1] + 1e-9
@@ -164,7 +165,7 @@ def nearest(table: DataFrame, every: int = 50, k: int = NEAREST) -> DataFrame:
     vectors = groups.select("gid", "embedding")
     sample = vectors.orderBy(F.xxhash64("gid"), "gid").limit(SAMPLE).collect()
     total = groups.count()
-    x = unit([r["embedding"] for r in sample])
+    x = unit([r["embedding"] for r in sample]).astype(np.float32)
     centres = balanced_centroids(x, max(1, min(total // LIST, len(x) // FEWEST)))
     posted = stage(lists_of(vectors, centres, COPY_RATIO, 1, COPIES), "postings")
     wanted = vectors.join(queries.select("gid").distinct(), "gid", "left_semi")
@@ -187,26 +188,33 @@ def nearest(table: DataFrame, every: int = 50, k: int = NEAREST) -> DataFrame:
         ids = vectors["gid"].to_numpy()
         order = np.argsort(ids, kind="stable")
         ids, b = ids[order], b[order]
-        keep = min(k + 3, len(ids))
+        # the query's own group and the k nearest others, by score, then id
+        keep = min(k + 1, len(ids))
         query, near, score = [], [], []
         for start in range(0, len(a), 512):
             value = a[start : start + 512] @ b.T
-            best = np.argsort(-value, axis=1, kind="stable")[:, :keep]
-            query.append(np.repeat(queries["gid"].to_numpy()[start : start + 512], keep))
-            near.append(ids[best].ravel())
-            score.append(np.take_along_axis(value, best, axis=1).ravel())
+            least = np.partition(value, len(ids) - keep, axis=1)[:, len(ids) - keep]
+            row, at = np.nonzero(value >= least[:, None])
+            order = np.lexsort((at, -value[row, at], row))
+            row, at = row[order], at[order]
+            # rows are in order, so a row's candidates start where the row is first found
+            best = np.arange(len(row)) - np.searchsorted(row, row) < keep
+            row, at = row[best], at[best]
+            query.append(queries["gid"].to_numpy()[start + row])
+            near.append(ids[at])
+            score.append(value[row, at])
         return found(np.concatenate(query), np.concatenate(near), np.concatenate(score))
 
     def found(query, near, score):
         import pandas as pd
 
-        return pd.DataFrame({"query": np.asarray(query, "int64"), "gid": np.asarray(near, "int64"), "rough": np.asarray(score, "float64")})
+        return pd.DataFrame({"query": np.asarray(query, "int64"), "gid": np.asarray(near, "int64"), "product": np.asarray(score, "float64")})
 
     keys = ["list", "part", "qpart"]
-    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "query long, gid long, rough double")
-    hits = hits.groupBy("query", "gid").agg(F.max("rough").alias("rough"))
-    best = Window.partitionBy("query").orderBy(F.desc("rough"), "gid")
-    top = stage(hits.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 3).select("query", "gid"), "hits")
+    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "query long, gid long, product double")
+    hits = hits.groupBy("query", "gid").agg(F.max("product").alias("product"))
+    best = Window.partitionBy("query").orderBy(F.desc("product"), "gid")
+    top = stage(hits.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).select("query", "gid"), "hits")
 
     def dot(a, b):
         return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
@@ -216,7 +224,7 @@ def nearest(table: DataFrame, every: int = 50, k: int = NEAREST) -> DataFrame:
         .select("query", "gid", (dot("asked", "embedding") / (F.sqrt(dot("asked", "asked")) * F.sqrt(dot("embedding", "embedding")))).alias("score"))
     )
     lists = scored.join(members, "gid").select("query", F.explode("ids").alias("vec_id"), "score")
-    # at most (k + 3) groups of k + 1 ids each
+    # at most (k + 1) groups of k + 1 ids each
     lists = stage(lists.groupBy("query").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "vec_id"))).alias("near")), "lists")
     own = queries.select(F.col("vec_id").alias("query_id"), F.col("gid").alias("query")).distinct()
     return (
