@@ -345,6 +345,21 @@ def test_neighbours_among_near_copies(spark):
         assert score[got[i]] == pytest.approx(np.sort(score)[:-6:-1], rel=0, abs=1e-15)
 
 
+def test_neighbours_over_hundreds_of_lists(monkeypatch, spark):
+    from tierflow.llm import spann
+
+    monkeypatch.setattr(spann, "LIST", 16)
+    x = np.random.default_rng(12).normal(size=(8000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    x = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hits = 0
+    for r in spann.nearest(df).collect():
+        score = x @ x[r["query_id"]]
+        score[r["query_id"]] = -2
+        hits += r["vec_id"] in np.argsort(-score)[:5]
+    assert hits >= 0.9 * 5 * 160
+
+
 PATTERNS = (
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 6),
     ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),

@@ -2,7 +2,9 @@
 
 Centroids of a bounded sample are kept about equally loaded and joined into a neighbour graph, which is
 searched best-first. A vector is posted to its nearest centroid and, near a boundary, to others about as
-close. A query reads the lists whose centroids are within a ratio of its nearest one's distance. Posting
+close. A query reads the lists whose centroids are within a ratio of its nearest one's distance, or a number
+of nearest lists: what is read is set by comparing some queries with all vectors, so that the lists hold the
+share ``RECALL`` of their neighbours. Posting
 lists are split by a hash when many vectors or queries share one, and their pieces are compared as matrices.
 Products are taken in double precision and the nearest are exact for the lists read; near copies that differ by
 less than double rounding are ties.
@@ -26,9 +28,10 @@ from .common import map_batches, ready, stage
 SAMPLE = 20_000  # vectors the centroids are fitted on, at most
 LIST = 256  # vectors a list should have, where the sample allows so many lists
 FEWEST = 8  # sample vectors for a centroid, at least
-NEIGHBOURS, BEAM, STEPS = 24, 64, 48  # of the centroid graph and its search
+NEIGHBOURS, BEAM, STRIDE = 24, 64, 8  # of the centroid graph; of its search: best found, at least, and visits a step
 COPIES, COPY_RATIO = 4, 1.08  # a vector's lists: how many at most, and how much farther than the nearest
-READ_RATIO, READ_LEAST = 1.25, 8  # a query's lists: how much farther, and how many at least
+READ_LEAST = 8  # a query's lists, at least
+PROBES, RECALL = 200, 0.98  # queries compared with all vectors, and the share of their neighbours that lists must hold
 PIECE = 4096  # vectors or queries of a list compared in one task
 NEAREST = 5
 
@@ -63,42 +66,37 @@ def graph_of(centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     near = np.argpartition(-close, degree - 1, axis=1)[:, :degree]
     # long links keep distant regions reachable
     far = np.random.default_rng(7).integers(0, k, (k, max(2, degree // 4)))
-    return np.concatenate([near, far], axis=1), np.linspace(0, k - 1, min(k, 16)).astype(int)
-
-
-def search_graph(x: np.ndarray, centres: np.ndarray, links: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best-first search for a batch: ids and similarities of the centroids found, nearest first."""
-    n, beam = len(x), min(BEAM, len(centres))
-    rows = np.arange(n)[:, None]
-    seen = np.zeros((n, len(centres)), dtype=bool)
-    ids = np.tile(starts, (n, 1))
-    score = x @ centres[starts].T
-    seen[:, starts] = True
-    expanded = np.zeros_like(ids, dtype=bool)
-    for _ in range(STEPS):
-        waiting = np.where(expanded, -np.inf, score)
-        best = waiting.argmax(axis=1)
-        if not np.isfinite(waiting.max(axis=1)).any():
-            break
-        expanded[np.arange(n), best] = True
-        fresh = links[ids[np.arange(n), best]]
-        value = np.einsum("nd,nkd->nk", x, centres[fresh])
-        value[seen[rows, fresh]] = -np.inf
-        seen[rows, fresh] = True
-        ids, score = np.concatenate([ids, fresh], axis=1), np.concatenate([score, value], axis=1)
-        expanded = np.concatenate([expanded, ~np.isfinite(value)], axis=1)
-        if ids.shape[1] > beam:
-            keep = np.argpartition(-score, beam - 1, axis=1)[:, :beam]
-            ids, score, expanded = ids[rows, keep], score[rows, keep], expanded[rows, keep]
-    order = np.argsort(-score, axis=1, kind="stable")
-    ids, score = ids[rows, order], score[rows, order]
-    # a centroid met twice in one step counts once
-    again = np.zeros_like(ids, dtype=bool)
-    by_id = np.argsort(ids, axis=1, kind="stable")
-    sorted_ids = ids[rows, by_id]
-    same = np.concatenate([np.zeros((n, 1), dtype=bool), sorted_ids[:, 1:] == sorted_ids[:, :-1]], axis=1)
-    again[rows, by_id] = same
-    return ids, np.where(again, -np.inf, score)
+    # and a ring all centroids
+    ring = (np.arange(k)[:, None] + 1) % k
+    return np.concatenate([near, far, ring], axis=1), np.linspace(0, k - 1, min(k, 16)).astype(int)
+
+
+def distances(score: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(0, 2 - 2 * score.astype(np.float64)))
+
+
+def search_graph(x: np.ndarray, centres: np.ndarray, links: np.ndarray, starts: np.ndarray, ratio: float, least: int) -> np.ndarray:
+    """Best-first search for a batch: similarities of the centroids found, -inf elsewhere. It goes on while a
+    centroid waits that is within ``ratio`` of the nearest one's distance or among the best found."""
+    n, k = len(x), len(centres)
+    rows, width, beam = np.arange(n)[:, None], min(STRIDE, k), min(max(BEAM, least), k)
+    score = np.full((n, k), -np.inf, dtype=np.float32)
+    score[:, starts] = x @ centres[starts].T
+    waiting = score.copy()
+    while True:
+        best = np.argpartition(-waiting, width - 1, axis=1)[:, :width]
+        value = waiting[rows, best]
+        floor = np.partition(score, k - beam, axis=1)[:, k - beam]
+        # both bounds only tighten: what is not worth a visit now never is
+        worth = (value > floor[:, None]) | (distances(value) <= ratio * distances(score.max(axis=1))[:, None] + 1e-9)
+        row, at = np.nonzero(worth & np.isfinite(value))
+        if not len(row):
+            return score
+        waiting[rows, best] = -np.inf
+        fresh = np.zeros((n, k), dtype=bool)
+        fresh[row[:, None], links[best[row, at]]] = True
+        row, at = np.nonzero(fresh & ~np.isfinite(score))
+        score[row, at] = waiting[row, at] = np.einsum("nd,nd->n", x[row], centres[at])
 
 
 def unit(values: list) -> np.ndarray:
@@ -117,14 +115,12 @@ def lists_of(vectors: DataFrame, centres: np.ndarray, ratio: float, least: int,
             if not batch.num_rows:
                 return
             x = unit(batch.column(1).to_pylist()).astype(np.float32)
-            ids, score = search_graph(x, centres, links, starts)
-            distance = np.sqrt(np.maximum(0, 2 - 2 * score.astype(np.float64)))
-            chosen = distance <= ratio * distance[:, :1] + 1e-9
-            rank = np.cumsum(np.isfinite(score), axis=1)
-            chosen |= rank <= least
+            score = search_graph(x, centres, links, starts, 1.0 if most else ratio, least)
+            ids = np.argsort(-score, axis=1, kind="stable")[:, :most]
+            score = np.take_along_axis(score, ids, axis=1)
+            distance = distances(score)
+            chosen = (distance <= ratio * distance[:, :1] + 1e-9) | (np.arange(ids.shape[1]) < least)
             chosen &= np.isfinite(score)
-            if most:
-                chosen &= rank <= most
             row, at = np.nonzero(chosen)
             yield pa.record_batch(
                 [pa.array(ids[row, at], pa.int32()), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
@@ -136,6 +132,63 @@ def lists_of(vectors: DataFrame, centres: np.ndarray, ratio: float, least: int,
     return map_batches(vectors.select("gid", "embedding"), make, "list int, gid long, embedding array<float>")
 
 
+def brute_force(vectors: DataFrame, probes: list, k: int) -> DataFrame:
+    """``probe, gid``: the ``k`` nearest other vectors of each of a bounded number of ``probes`` (gid, embedding)."""
+    own = np.array([r["gid"] for r in probes])
+    asked = unit([r["embedding"] for r in probes])
+
+    def make():
+        ids, score = np.zeros((len(own), 0), dtype=np.int64), np.zeros((len(own), 0))
+
+        def step(batch):
+            nonlocal ids, score
+            if batch is None:
+                row, at = np.nonzero(np.isfinite(score))
+                yield pa.record_batch([pa.array(own[row]), pa.array(ids[row, at]), pa.array(score[row, at])], names=["probe", "gid", "product"])
+            elif batch.num_rows:
+                gid = batch.column(0).to_numpy()
+                value = asked @ unit(batch.column(1).to_pylist()).T
+                value[own[:, None] == gid] = -np.inf
+                ids, score = np.concatenate([ids, np.tile(gid, (len(own), 1))], axis=1), np.concatenate([score, value], axis=1)
+                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                ids, score = np.take_along_axis(ids, best, axis=1), np.take_along_axis(score, best, axis=1)
+
+        return step
+
+    found = map_batches(vectors.select("gid", "embedding"), make, "probe long, gid long, product double", last=True)
+    best = Window.partitionBy("probe").orderBy(F.desc("product"), "gid")
+    return found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).select("probe", "gid")
+
+
+def reading(vectors: DataFrame, queries: DataFrame, posted: DataFrame, centres: np.ndarray, k: int) -> tuple[float, int]:
+    """Ratio and least number of lists that find the share ``RECALL`` of the neighbours of some queries; of the
+    two ways, by ratio and by number alone, the one that reads fewer lists."""
+    some = queries.select("gid").distinct().orderBy(F.xxhash64("gid"), "gid").limit(PROBES)
+    probes = vectors.join(F.broadcast(some), "gid").orderBy("gid").collect()
+    if not probes or len(centres) <= READ_LEAST:
+        return 1.0, READ_LEAST
+    true = stage(brute_force(vectors, probes, k), "probe-neighbours")
+    # at most PROBES * k * COPIES rows
+    held = posted.select("list", "gid").join(F.broadcast(true), "gid").select("probe", "gid", "list").collect()
+    if not held:
+        return 1.0, READ_LEAST
+    score = unit([r["embedding"] for r in probes]).astype(np.float32) @ centres.T
+    rank = np.argsort(np.argsort(-score, axis=1, kind="stable"), axis=1, kind="stable")
+    distance = distances(score)
+    farther = distance / np.maximum(distance.min(axis=1, keepdims=True), 1e-9)
+    place = {r["gid"]: i for i, r in enumerate(probes)}
+    by_rank: dict[tuple[int, int], int] = {}
+    by_ratio: dict[tuple[int, int], float] = {}
+    for r in held:
+        key, at = (r["probe"], r["gid"]), (place[r["probe"]], r["list"])
+        by_rank[key] = min(by_rank.get(key, len(centres)), int(rank[at]) + 1)
+        by_ratio[key] = min(by_ratio.get(key, np.inf), 1.0 if rank[at] < READ_LEAST else float(farther[at]))
+    needed = lambda values: sorted(values)[min(len(values) - 1, int(np.ceil(RECALL * len(values))))]
+    least, ratio = max(READ_LEAST, needed(by_rank.values())), needed(by_ratio.values())
+    read = np.maximum((farther <= ratio).sum(axis=1), READ_LEAST).mean()
+    return (ratio * (1 + 1e-6), READ_LEAST) if read < least else (1.0, least)
+
+
 def nearest(table: DataFrame, every: int = 50, k: int = NEAREST) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row whose id ``every`` divides."""
     spark = table.sparkSession
@@ -169,7 +222,7 @@ def nearest(table: DataFrame, every: int = 50, k: int = NEAREST) -> DataFrame:
     centres = balanced_centroids(x, max(1, min(total // LIST, len(x) // FEWEST)))
     posted = stage(lists_of(vectors, centres, COPY_RATIO, 1, COPIES), "postings")
     wanted = vectors.join(queries.select("gid").distinct(), "gid", "left_semi")
-    read = stage(lists_of(wanted, centres, READ_RATIO, READ_LEAST, None), "reads")
+    read = stage(lists_of(wanted, centres, *reading(vectors, queries, posted, centres, k), None), "reads")
     # how many pieces each list has on either side: a row per list, bounded by the sample
     parts = posted.groupBy("list").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("v"))
     parts = parts.join(read.groupBy("list").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("q")), "list")
