@@ -180,6 +180,16 @@ def test_next_word_chances_add_up(monkeypatch, spark):
     assert sum(10 ** score[i] for i in asked.values()) <= 1.0
 
 
+def test_words_seen_once_count_in_held_out_texts(spark):
+    """After "a" and after "k a", x was seen once and y, as rare, never."""
+    train, held = ([i for i in range(400) if crc(i, 7) == h] for h in (False, True))
+    texts = ["k a b"] * 30 + ["q c", "q d", "q e"] * 10 + ["k a x", "q y"]
+    asked = dict(zip(("k a x", "k a y"), held, strict=False))
+    rows = list(zip(train, texts, strict=False)) + [(i, t) for t, i in asked.items()]
+    score = {r["doc_id"]: r["score"] for r in suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert score[asked["k a x"]] > score[asked["k a y"]] + 0.1
+
+
 def test_warc_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")

@@ -163,7 +163,8 @@ class Block:
         self.key_one = mix(context * _FACTORS[0])
         self.key_pair = mix(self.key_one + symbol * _FACTORS[1])
         self.n_one = np.where(self.first, self.corpus.documents, per_word[before])
-        self.ask_pair = (self.n_one >= SUPPORT) & (self.c >= 2)
+        # asking also says what is here: what training has once is asked for too, for held-out texts that have it
+        self.ask_pair = (self.n_one >= SUPPORT) & (self.c >= 1)
         if PAIRS not in self.totals:
             return
         self.n_pair = self._spread(PAIRS, self.key_pair, self.ask_pair)
@@ -172,7 +173,7 @@ class Block:
         self.key_two = np.concatenate(([np.uint64(0)], self.key_pair[:-1]))
         self.n_two = np.where(self.first, 0, np.concatenate(([0], self.n_pair[:-1])))
         self.key_triple = mix(self.key_two * _FACTORS[0] + symbol * _FACTORS[1] + np.uint64(1))
-        self.ask_triple = (self.n_two >= SUPPORT) & (self.n_pair >= 2)
+        self.ask_triple = (self.n_two >= SUPPORT) & (self.n_pair >= 1)
         if ONE in self.totals:
             self.types_one = self._contexts(ONE, self.key_one, self.n_one >= SUPPORT)
             self.n_triple = self._spread(TRIPLES, self.key_triple, self.ask_triple)
@@ -180,7 +181,7 @@ class Block:
                 self.types_two = self._contexts(TWO, self.key_two, self.n_two >= SUPPORT)
 
     def _spread(self, number: int, keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
-        """Totals of sequences per position; one that was not asked for occurs here only, if anywhere."""
+        """Totals of sequences per position; those not asked for do not occur, or follow too rare a context."""
         out = self.train.astype(np.int64)
         _, inverse = np.unique(keys[asked], return_inverse=True)
         out[asked] = self.totals[number][inverse]
