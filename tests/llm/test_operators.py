@@ -190,6 +190,46 @@ def test_words_seen_once_count_in_held_out_texts(spark):
     assert score[asked["k a x"]] > score[asked["k a y"]] + 0.1
 
 
+def tree_scores(tokens, held):
+    """Scores by a tree that is counted in dictionaries, and how many words its longest context has."""
+    places = {(i, o): w for i, ws in tokens.items() for o, w in enumerate(ws)}
+    words = Counter(w for (i, _), w in places.items() if not held[i])
+    once, twice, n = sum(c == 1 for c in words.values()), sum(c == 2 for c in words.values()), sum(words.values())
+    cut = min(0.95, max(0.05, once / (once + 2 * twice)))
+    chance = {p: (words[w] - cut if words[w] else cut * len(words)) / n for p, w in places.items()}
+    active, depth, longest = set(places), 0, 0
+    while active:
+        depth += 1
+        context = {(i, o): tuple([None, *tokens[i]][o + 1 - depth : o + 1]) for i, o in active if o >= depth - 1}
+        follow = defaultdict(Counter)
+        for p, c in context.items():
+            if not held[p[0]]:
+                follow[c][places[p]] += 1
+        total = {c: sum(f.values()) for c, f in follow.items()}
+        shorter = {(c, places[p]): chance[p] for p, c in context.items()}
+        kept = set()
+        for c, f in follow.items():
+            if total[c] >= suffix_tree.SUPPORT:
+                gain = sum(m * np.log((m - 1.75) / (total[c] - 1) / shorter[c, w]) if m > 1 else np.log(min(1, 0.75 * len(f) / (total[c] - 1))) for w, m in f.items())
+                kept |= {c} if gain > suffix_tree.GAIN else set()
+        for p, c in context.items():
+            if c in kept:
+                chance[p] = (max(follow[c][places[p]] - 0.75, 0) + 0.75 * len(follow[c]) * chance[p]) / total[c]
+        longest = depth if kept else longest
+        active = {p for p, c in context.items() if c in kept or depth < 2}
+    score = defaultdict(float)
+    for (i, _), x in chance.items():
+        score[i] += np.log10(x)
+    return score, longest
+
+
+def test_scores_equal_a_tree_of_any_depth(spark, texts):
+    tokens = {i: [*t.encode().lower().split(), b""] for i, t in texts.items()}
+    want, longest = tree_scores(tokens, {i: crc(i, 7) for i in tokens})
+    got = {r["doc_id"]: r["score"] for r in run(spark, "op4_suffix_tree")}
+    assert longest >= 3 and got == {i: pytest.approx(want[i], rel=1e-6) for i in got}
+
+
 def test_warc_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")

@@ -1,6 +1,7 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-States are contexts of up to ``DEPTH`` words. A context is retained when it occurs often enough and the
+States are contexts of any number of words: those of one and two are all tried, a longer one where the context
+one word shorter is retained, until none is. A context is retained when it occurs often enough and the
 divergence of its next-word distribution from that of the context one word shorter, summed over its
 occurrences and estimated leaving each of them out, passes a test. Distributions are smoothed by absolute
 discounting towards the shorter context, down to single words and one symbol for all unknown words. A token
@@ -47,6 +48,18 @@ REPLY = "block long, round int, bucket int, totals binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 # Rounds: totals of words, of pairs, of contexts of one word, of triples, of contexts of two words.
 WORDS, PAIRS, ONE, TRIPLES, TWO = range(5)
+# From three words on, per length: totals of contexts, of sequences, of contexts again with what the test needs.
+# What a block hands on: places and chances of its tokens in the longest contexts, and figures of its documents.
+PLACES, CHANCE, KNOWN, BASE, MODEL = range(-5, 0)
+FLOATS = (CHANCE, BASE, MODEL)
+
+
+def deeper(depth: int) -> tuple[int, int, int]:
+    """Rounds of contexts of ``depth`` words."""
+    first = TWO + 1 + 3 * (depth - 3)
+    return first, first + 1, first + 2
+
+
 
 # Types of what a block says of a context: divergence, distinct next words, those seen once, occurrences.
 CONTEXT = ("<f4", "<f4", "<u4", "<u4")
@@ -246,10 +259,13 @@ class Block:
             keys, asked, n, context, shorter = self.key_one, self.n_one >= SUPPORT, self.n_pair, self.n_one, self.chance_word()
         else:
             keys, asked, n, context, shorter = self.key_two, self.n_two >= SUPPORT, self.n_triple, self.n_two, self.chance_one()
-        train, n, context = self.train[asked], n[asked], context[asked].astype(float)
+        return self._ask_test(number, keys[asked], self.train[asked], n[asked], context[asked], shorter[asked], buckets)
+
+    def _ask_test(self, number: int, keys, train, n, context, shorter, buckets: int) -> list[tuple]:
+        context = context.astype(float)
         seen = train & (n >= 1)
         without = np.maximum(n - 1 - DISCOUNT, 1e-3) / np.maximum(context - 1, 1)
-        gain = np.log(without / np.maximum(shorter[asked], 1e-300))
+        gain = np.log(without / np.maximum(shorter, 1e-300))
         ones = np.ones(len(n))
         parts = [
             (seen & (n >= 2), gain),
@@ -257,18 +273,76 @@ class Block:
             (seen & (n == 1), ones),
             (seen, ones),
         ]
-        return self._ask(number, keys[asked], parts, buckets)
+        return self._ask(number, keys, parts, buckets)
 
-    def scores(self) -> list[list]:
-        corpus, docs = self.corpus, len(self.sizes)
+    # contexts of three words and more, at the places where the context one word shorter is retained
+
+    def resume(self, depth: int) -> None:
+        """Places long enough for ``depth`` words, their contexts and sequences, and totals as far as received."""
+        starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
+        at, chance = self.totals[PLACES], self.totals[CHANCE]
+        offset = at - starts[self.doc[at]]
+        long = offset >= depth - 1
+        self.at, self.chance, offset = at[long], chance[long], offset[long]
+        key = np.full(len(self.at), depth, dtype=np.uint64)
+        for back in range(1, depth + 1):
+            symbol = np.where(offset == back - 1, _START, self.hashes[self.ids[self.at - back]])
+            key = mix(key * _FACTORS[0] + symbol * _FACTORS[1])
+        self.key_context = key
+        self.key_next = mix(key * _FACTORS[0] + self.hashes[self.ids[self.at]] * _FACTORS[1] + np.uint64(1))
+        contexts, sequences, test = deeper(depth)
+        if contexts in self.totals:
+            everywhere = np.ones(len(self.at), dtype=bool)
+            self.n_context = self._contexts(contexts, self.key_context, everywhere)
+            self.n_next = self._contexts(sequences, self.key_next, everywhere)
+            self.supported = self.n_context >= SUPPORT
+            if test in self.totals:
+                self.types = self._contexts(test, self.key_context, self.supported)
+
+    def ask_longer(self, depth: int, buckets: int) -> list[tuple]:
+        contexts, sequences, _ = deeper(depth)
+        parts = [(self.train[self.at], None)]
+        return self._ask(contexts, self.key_context, parts, buckets) + self._ask(sequences, self.key_next, parts, buckets)
+
+    def ask_test(self, depth: int, buckets: int) -> list[tuple]:
+        ok = self.supported
+        n, context, train = self.n_next[ok], self.n_context[ok], self.train[self.at][ok]
+        return self._ask_test(deeper(depth)[2], self.key_context[ok], train, n, context, self.chance[ok], buckets)
+
+    def _hand_on(self, retained: np.ndarray, at: np.ndarray, chance: np.ndarray) -> list[tuple]:
+        if not retained.any():
+            return []
+        return [(self.number, PLACES, 0, press(at[retained].astype("<u4"))), (self.number, CHANCE, 0, press(chance[retained].astype("<f8")))]
+
+    def _per_doc(self, values: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        return np.bincount(doc, values, minlength=len(self.sizes))
+
+    def settle(self) -> list[tuple]:
+        """Scores by contexts of up to two words, and the places whose context of two words is retained."""
+        corpus, zero = self.corpus, np.zeros(len(self.sizes))
         if not corpus.tokens:
-            zero = [0.0] * docs
-            return [self.doc_ids, self.held.tolist(), self.sizes.tolist(), [0] * docs, [0] * docs, zero, zero]
-        per_doc = lambda values: np.bincount(self.doc, values, minlength=docs)
-        base = per_doc(np.log10((self.c + 1) / (corpus.tokens + corpus.words + 1)))
-        model = per_doc(np.log10(self.chance_two()))
-        known = per_doc((self.c > 0).astype(float)).astype(np.int64)
-        return [self.doc_ids, self.held.tolist(), self.sizes.tolist(), known.tolist(), [corpus.tokens] * docs, base.tolist(), model.tolist()]
+            known, base, model, places = zero, zero, zero, []
+        else:
+            chance = self.chance_two()
+            base = self._per_doc(np.log10((self.c + 1) / (corpus.tokens + corpus.words + 1)), self.doc)
+            model = self._per_doc(np.log10(chance), self.doc)
+            known = self._per_doc((self.c > 0).astype(float), self.doc)
+            places = self._hand_on(self.types_two > 0, np.arange(len(self.ids)), chance)
+        figures = ((KNOWN, known, "<u4"), (BASE, base, "<f8"), (MODEL, model, "<f8"))
+        return [(self.number, number, 0, press(values.astype(kind))) for number, values, kind in figures] + places
+
+    def advance(self, depth: int) -> list[tuple]:
+        """What contexts of ``depth`` words add to the scores, and the places where they are retained."""
+        chance = self.smoothed(self.chance, self.n_next, self.n_context, self.types)
+        more = self._per_doc(np.log10(chance) - np.log10(self.chance), self.doc[self.at])
+        places = self._hand_on(self.types > 0, self.at, chance)
+        return [(self.number, MODEL, depth, press(more.astype("<f8"))), *places] if places else []
+
+    def scores(self) -> list[list]:
+        docs = len(self.sizes)
+        model = self.totals[MODEL].reshape(-1, docs).sum(axis=0)
+        known, base = self.totals[KNOWN].tolist(), self.totals[BASE].tolist()
+        return [self.doc_ids, self.held.tolist(), self.sizes.tolist(), known, [self.corpus.tokens] * docs, base, model.tolist()]
 
 
 # ---------------------------------------------------------------- totals in buckets
@@ -306,7 +380,7 @@ def total_keys(table: pa.Table) -> pa.Table:
     number = rows[0]["round"]
     keys = [np.cumsum(unpress(r["keys"], "<u8"), dtype=np.uint64) for r in rows]
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    if number in (PAIRS, TRIPLES):
+    if number in (PAIRS, TRIPLES) or (number > TWO and (number - TWO) % 3):
         counts = np.concatenate([unpress_columns(r["payload"], ("<u4",))[0] for r in rows])
         totals = np.bincount(inverse, counts, minlength=len(distinct))
     else:
@@ -355,37 +429,54 @@ def score(docs: DataFrame) -> DataFrame:
     corpus = Corpus(int(totals["tokens"] or 0), *map(int, kinds), int(totals["documents"] or 0))
     replies = replies.filter("block >= 0")
 
-    def each(make: Callable[[Block], list], schema: str, types: tuple, columns: bool = False) -> DataFrame:
+    def each(make: Callable[[Block], list], schema: str, types: tuple, right: DataFrame, done: list[int], ready: Callable[[Block], None], columns: bool = False) -> DataFrame:
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             got: dict[int, list] = {}
             for r in right.sort_by([("round", "ascending"), ("bucket", "ascending")]).to_pylist():
-                got.setdefault(r["round"], []).append(unpress(r["totals"], "<u4"))
-            sums = {number: np.concatenate(parts).astype(np.int64) for number, parts in got.items()}
-            # a round in which a block had nothing to ask has no reply
+                got.setdefault(r["round"], []).append(unpress(r["totals"], "<f8" if r["round"] in FLOATS else "<u4"))
+            sums = {number: np.concatenate(parts).astype(float if number in FLOATS else np.int64) for number, parts in got.items()}
+            # a block without places is through; a round in which a block had nothing to ask has no reply
             for number in done:
                 sums.setdefault(number, np.empty(0, dtype=np.int64))
             out = []
-            for row in left.to_pylist():
+            for row in left.to_pylist() if got else ():
                 block = Block(row, sums, corpus)
-                block.count(buckets)
+                ready(block)
                 out.append(make(block))
             rows = [r for part in out for r in (zip(*part, strict=True) if columns else part)]
             return _rows(rows, schema, types)
 
-        done = frozenset(rounds)
-        return table.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
+        return table.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, schema)
+
+    def exchange(asked: DataFrame, label: str) -> DataFrame:
+        return stage(asked.groupBy("round", "bucket").applyInArrow(total_keys, REPLY), label)
 
-    def exchange(make: Callable[[Block], list], label: str) -> DataFrame:
-        asked = each(make, REQUEST, REQUEST_TYPES)
-        return replies.union(stage(asked.groupBy("round", "bucket").applyInArrow(total_keys, REPLY), label))
+    def count(make: Callable[[Block], list], schema: str = REQUEST, types: tuple = REQUEST_TYPES) -> DataFrame:
+        return each(make, schema, types, replies, list(rounds), lambda b: b.count(buckets))
 
     rounds = [WORDS]
     if corpus.tokens:
-        replies = exchange(lambda b: b.ask_sequences(PAIRS, buckets), "pair-totals")
+        replies = replies.union(exchange(count(lambda b: b.ask_sequences(PAIRS, buckets)), "pair-totals"))
         rounds.append(PAIRS)
-        replies = exchange(lambda b: b.ask_contexts(ONE, buckets) + b.ask_sequences(TRIPLES, buckets), "triple-totals")
+        asked = count(lambda b: b.ask_contexts(ONE, buckets) + b.ask_sequences(TRIPLES, buckets))
+        replies = replies.union(exchange(asked, "triple-totals"))
         rounds += [ONE, TRIPLES]
-        replies = exchange(lambda b: b.ask_contexts(TWO, buckets), "context-totals")
+        replies = replies.union(exchange(count(lambda b: b.ask_contexts(TWO, buckets)), "context-totals"))
         rounds.append(TWO)
+    state = stage(count(lambda b: b.settle(), REPLY, REPLY_TYPES), "states")
+    figures, depth = state.filter(F.col("round").isin(KNOWN, BASE, MODEL)), 3
+    while not (places := state.filter(F.col("round").isin(PLACES, CHANCE))).isEmpty():
+
+        def extend(make, right, done, schema=REQUEST, types=REQUEST_TYPES, depth=depth):
+            # blocks without places have nothing more to ask
+            resume = lambda b: b.resume(depth)
+            return each(lambda b: make(b, depth), schema, types, right, [*done], resume)
+
+        *counts, test = deeper(depth)
+        known = places.union(exchange(extend(lambda b, d: b.ask_longer(d, buckets), places, []), "longer-totals"))
+        known = known.union(exchange(extend(lambda b, d: b.ask_test(d, buckets), known, counts), "longer-contexts"))
+        state = stage(extend(lambda b, d: b.advance(d), known, [*counts, test], REPLY, REPLY_TYPES), "states")
+        figures = figures.union(state.filter(F.col("round") == MODEL))
+        depth += 1
     types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-    return each(lambda b: b.scores(), SCORES, types, columns=True)
+    return each(lambda b: b.scores(), SCORES, types, figures, [], lambda b: None, columns=True)
