@@ -448,6 +448,25 @@ def test_random_keys_are_found_and_words_are_not(spark):
     assert sum("random" in got[i] for i in range(20)) >= 16 and not any("random" in got[100 + i] for i in range(200))
 
 
+def test_random_keys_of_one_case_and_dashed_ones_are_found(spark):
+    import random
+    import uuid
+
+    rng = random.Random(6)
+    key = lambda letters, n=40: "".join(rng.choice(letters) for _ in range(n))
+    lower = [key("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(20)]
+    upper = [key("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(20)]
+    dashed = [str(uuid.UUID(int=rng.getrandbits(128), version=4)) for _ in range(20)]
+    plain = [f"release-notes-for-the-summer-edition-{i} see old/archive/of_module_{i}/readme" for i in range(200)]
+    texts = [f"key {t} end" for t in lower + upper + dashed] + plain
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: "random" in r["spans"] for r in secret_scan.report(frame).collect()}
+    for at in (0, 20, 40):
+        assert sum(got[i] for i in range(at, at + 20)) >= 16
+    assert not any(got[60 + i] for i in range(200))
+    assert not any(t in r["text"] for r in secret_scan.redact(frame).collect() for t in [texts[i][4:-4] for i in range(60) if got[i]])
+
+
 def test_redaction(odd, spark):
     df = spark.createDataFrame([(1, "a token=abcdefgh b " + "0" * 30 + "!", 7, "kept"), (2, None, None, None)], "doc_id long, text string, n_chars long, secrets string")
     assert sorted(map(tuple, secret_scan.redact(df).collect())) == [(1, "a [secret] b [secret]!", 22, "kept"), (2, None, None, None)]

@@ -1,7 +1,8 @@
 """Secret scans: three fixed patterns and a battery of randomness tests, in DataFrame functions only.
 
-Long runs of encoding characters are candidates. Each gets its encoding (hex, base32, base64) from its
-characters and three tests: chi-squared uniformity over the alphabet, Wald-Wolfowitz runs, lag-one serial
+Long runs of encoding characters with a letter and a digit are candidates. Each gets its encoding from its
+characters (hex and base32, also with separators between; base64 where both cases occur; base36 for the rest,
+separators left out) and three tests: chi-squared uniformity over the alphabet, Wald-Wolfowitz runs, lag-one serial
 correlation. A candidate is a discovery when the battery does not reject randomness and ordinary text of
 its length would hardly look so random; that second probability is weighted by length and held to a
 false-discovery rate over all candidates of the corpus (Benjamini-Hochberg on a histogram of fixed width).
@@ -31,6 +32,7 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}"
 HEX_DIGITS = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 RATE = 0.01  # false discoveries among discoveries
@@ -38,6 +40,7 @@ REJECT = 3.3  # a battery test beyond this z speaks against randomness
 # Ordinary tokens: chance that two characters agree, and that neighbours differ in kind (upper, lower, digit).
 ORDINARY_AGREE = 0.065
 ORDINARY_AGREE_HEX = 0.11
+ORDINARY_AGREE_36 = 0.055  # long names of one case with digits, separators left out, in installed Python files
 ORDINARY_CHANGE = 0.2
 BIN = 0.05  # width of the histogram of -log10 p
 TOP = 300.0
@@ -87,7 +90,7 @@ def normal_cdf(z: Column) -> Column:
 
 def battery(found: Column) -> Column:
     """Spans with their tests: encoding, length and z of uniformity, runs and serial correlation, and ``p``:
-    the chance that ordinary text of this length looks as random. Spans that fit no encoding are left out."""
+    the chance that ordinary text of this length looks as random. Spans have a letter and a digit."""
 
     known = ["start", "end", "value"]
 
@@ -101,27 +104,37 @@ def battery(found: Column) -> Column:
         )
 
     rows = add(found, body=lambda s: F.rtrim(s["value"], F.lit("=")))
+    rows = add(rows, plain=lambda s: F.regexp_replace(s["body"], "[+/_-]", ""))
     rows = add(
         rows,
-        n=lambda s: F.length(s["body"]).cast("double"),
         code=lambda s: F.when(
-            s["body"].rlike("^([0-9a-f]+|[0-9A-F]+)$") & s["body"].rlike("[0-9]") & s["body"].rlike("[a-fA-F]"), "hex"
+            s["plain"].rlike("^([0-9a-f]+|[0-9A-F]+)$") & s["plain"].rlike("[0-9]") & s["plain"].rlike("[a-fA-F]"), "hex"
         )
-        .when(s["body"].rlike("^[A-Z2-7]+$") & s["body"].rlike("[2-7]") & s["body"].rlike("[A-Z]"), "base32")
-        .when(s["body"].rlike("[0-9]") & s["body"].rlike("[a-z]") & s["body"].rlike("[A-Z]"), "base64"),
+        .when(s["plain"].rlike("^[A-Z2-7]+$") & s["plain"].rlike("[2-7]") & s["plain"].rlike("[A-Z]"), "base32")
+        .when(s["body"].rlike("[0-9]") & s["body"].rlike("[a-z]") & s["body"].rlike("[A-Z]"), "base64")
+        .otherwise("base36"),
     )
-    rows = F.filter(rows, lambda s: s["code"].isNotNull())
     rows = add(
         rows,
-        alphabet=lambda s: F.when(s["code"] == "hex", HEX_DIGITS).when(s["code"] == "base32", BASE32).otherwise(BASE64),
+        alphabet=lambda s: F.when(s["code"] == "hex", HEX_DIGITS)
+        .when(s["code"] == "base32", BASE32)
+        .when(s["code"] == "base36", BASE36)
+        .otherwise(BASE64),
         # url-safe base64 is read as plain base64
-        read=lambda s: F.when(s["code"] == "hex", F.lower(s["body"])).otherwise(F.translate(s["body"], "-_", "+/")),
+        read=lambda s: F.when(s["code"].isin("hex", "base36"), F.lower(s["plain"]))
+        .when(s["code"] == "base32", s["plain"])
+        .otherwise(F.translate(s["body"], "-_", "+/")),
         kinds=lambda s: F.regexp_replace(
-            F.regexp_replace(F.regexp_replace(s["body"], "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "0"
+            F.regexp_replace(
+                F.regexp_replace(F.when(s["code"] == "base64", s["body"]).otherwise(s["plain"]), "[a-z]+", "a"), "[A-Z]+", "A"
+            ),
+            "[0-9]+",
+            "0",
         ),
     )
     rows = add(
         rows,
+        n=lambda s: F.length(s["read"]).cast("double"),
         k=lambda s: F.length(s["alphabet"]).cast("double"),
         symbols=lambda s: F.filter(F.split(s["read"], ""), lambda c: c != ""),
     )
@@ -155,7 +168,9 @@ def battery(found: Column) -> Column:
             s["pairs"], F.lit(0.0), lambda acc, p: acc + (p["a"] - s["mean"]) * (p["b"] - s["mean"])
         ),
         agree=lambda s: (s["squares"] - s["n"]) / (s["n"] * (s["n"] - 1)),
-        usual=lambda s: F.when(s["code"] == "hex", ORDINARY_AGREE_HEX).otherwise(ORDINARY_AGREE),
+        usual=lambda s: F.when(s["code"] == "hex", ORDINARY_AGREE_HEX)
+        .when(s["code"] == "base36", ORDINARY_AGREE_36)
+        .otherwise(ORDINARY_AGREE),
         changes=lambda s: F.length(s["kinds"]) - 1.0,
     )
     rows = add(
