@@ -84,6 +84,13 @@ def test_a_micro_batch_run_again_adds_nothing(clicks, spark):
     assert clicks.silver() == [(None,), ("1",)]
 
 
+def test_copies_on_different_days_are_one_event_in_any_micro_batch(clicks):
+    clicks.deliver(_line("1", "2024-01-02T23:59:59Z"), _line("2", "2024-01-02T11:00:00Z"), _line(None, "2024-01-02T12:00:00Z"))
+    clicks.deliver(_line("1", "2024-01-03T00:00:01Z"), _line("3", "2024-01-03T11:00:00Z"), _line(None, "2024-01-03T12:00:00Z"))
+    clicks.run(source={"max_files": 1})
+    assert clicks.silver() == [(None,), ("1",), ("2",), ("3",)]
+
+
 def test_rejects_keep_corrupt_and_untimed_lines(clicks):
     clicks.deliver(_line("1", "2024-01-02T10:00:00Z"), "{broken", _line("2", "soon"), _line("3", None))
     clicks.run(rejects=True)

@@ -45,30 +45,25 @@ def _start(df: DataFrame, target: str, checkpoint: str, partition_by: Sequence[s
 def append_new(batch: DataFrame, target: str, run_ts: datetime | None = None, files_per_batch: int | None = None) -> None:
     """Clean the clicks of one micro-batch and add those whose event the target does not have.
 
-    A click is new when the partition of its date has no such event; only the dates of the micro-batch are
+    A click is new when no partition has such an event, whatever its date; only the ids of the table are
     read. So nothing depends on the order files arrive in, and a micro-batch that is run again after its
     files were committed adds nothing. Copies within a micro-batch are reduced first, by the batch clean-up.
     """
     spark = batch.sparkSession
     clean = clean_clicks(batch, run_ts).filter(F.col("event_ts").isNotNull()).persist()
     try:
-        # one value per date in the micro-batch
-        dates = [r["event_date"] for r in clean.select("event_date").distinct().collect()]
         try:
-            known = spark.read.schema("event_id string, event_date date").parquet(target)
+            known = spark.read.schema("event_id string").parquet(target)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             new = clean
         else:
-            known = known.filter(F.col("event_date").isin(dates)).select(
-                F.col("event_id").alias("known_id"), F.col("event_date").alias("known_date")
-            )
-            same = F.col("event_id").eqNullSafe(F.col("known_id")) & (F.col("event_date") == F.col("known_date"))
-            new = clean.join(known, same, "left_anti")
+            known = known.select(F.col("event_id").alias("known_id"))
+            new = clean.join(known, F.col("event_id").eqNullSafe(F.col("known_id")), "left_anti")
         if files_per_batch is not None:
             new = new.repartition(files_per_batch, "event_id")
-        if dates:
+        if not clean.isEmpty():
             new.write.mode("append").partitionBy("event_date").parquet(target)
     finally:
         clean.unpersist()
