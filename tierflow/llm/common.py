@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -74,3 +74,24 @@ def part_offsets(counts: DataFrame, key: str, part: str, n: str) -> DataFrame:
     """Per key and part, how many rows of the key stand in smaller parts. One row per key and part comes in."""
     before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(key, part, F.coalesce(F.sum(n).over(before), F.lit(0)).cast("long").alias("before"))
+
+
+# Rows that one task sorts where rows are numbered.
+SORTED_ROWS = 1 << 16
+
+
+def ordered(df: DataFrame, keys: Sequence[str], label: str, rows: int = SORTED_ROWS) -> DataFrame:
+    """A stored table of ``df``, which is one itself, with ``_part`` and ``_seq``: rows are range-partitioned by
+    ``keys`` and numbered in each part in their order, parts in the order of the keys. Make the last key one that
+    no two rows share: then no group of equal rows has to fit in one part."""
+    parts = max(-(-df.count() // rows), df.sparkSession.sparkContext.defaultParallelism)
+    numbered = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_seq", F.monotonically_increasing_id())
+    return stage(numbered.withColumn("_part", F.shiftright("_seq", 33).cast("int")), label)
+
+
+def runs(table: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Of a table that is ``ordered`` by ``group`` and more, a row per part and group: ``_first`` number, ``_rows``, and
+    ``_before``, the rows of the group in earlier parts. A row's place in its group is _before + _seq - _first."""
+    counted = table.groupBy("_part", *group).agg(F.min("_seq").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
