@@ -155,10 +155,10 @@ def fold(node: str, proof: list[tuple[str, str]]) -> str:
     return node
 
 
-def prove(leaves: pa.Table, nodes: pa.Table) -> pa.Table:
+def prove(leaves: pa.Table, nodes: pa.Table, n_trees: int, root: str) -> pa.Table:
     """The result rows of one partition from its leaves and the nodes fetched for it."""
-    columns = {name: leaves[name].to_pylist() for name in ("tree", "idx", "size", "doc_id", "leaf", "altered", "trees")}
-    rows = sorted(zip(*columns.values(), strict=True), key=lambda r: r[:2])
+    columns = [leaves[name].to_pylist() for name in ("tree", "idx", "size", "doc_id", "leaf", "altered")]
+    rows = sorted(zip(*columns, strict=True), key=lambda r: r[:2])
     fetched: dict[int, dict[tuple[int, int], str]] = {}
     for tree, level, idx, value in zip(*(nodes[c].to_pylist() for c in ("tree", "level", "idx", "hash")), strict=True):
         fetched.setdefault(tree, {})[level, idx] = value.hex()
@@ -168,10 +168,8 @@ def prove(leaves: pa.Table, nodes: pa.Table) -> pa.Table:
     built = {
         tree: Stretch(g[0][1], [r[4].hex() for r in g], g[0][2], fetched.get(tree, {})) for tree, g in groups.items()
     }
-    n_trees, subroots = rows[0][6], [s.top for s in built.values()]
     first = rows[0][0]
-    over = Stretch(first, subroots, n_trees, fetched.get(TOP, {}))
-    root = fetched[TOP][-1, 0]
+    over = Stretch(first, [s.top for s in built.values()], n_trees, fetched.get(TOP, {}))
     out = []
     for (tree, group), above in zip(groups.items(), over.proofs(first, len(groups), []), strict=True):
         proofs = built[tree].proofs(group[0][1], len(group), above)
@@ -198,7 +196,7 @@ def verify(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     parts = stage(runs(sorted_leaves, ["source"]), "merkle-runs")
     sources = stage(parts.groupBy("source").agg(F.sum("_rows").alias("size")), "merkle-sources")
     trees = ordered(sources, ["source"], "merkle-trees")
-    n_trees = F.lit(trees.count()).cast("long")
+    n_trees = trees.count()
     numbered = trees.join(runs(trees, []), "_part").select(
         F.col("source").alias("_s"), "size", (F.col("_before") + F.col("_seq") - F.col("_first")).alias("tree")
     )
@@ -211,15 +209,15 @@ def verify(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
         "merkle-placed",
     )
     nodes = grow(leaves.select("tree", "size", "idx", F.col("leaf").alias("hash")), "merkle-nodes")
-    top = F.lit(TOP).cast("long")
-    subroots = tops(nodes).select(top.alias("tree"), n_trees.alias("size"), F.col("tree").alias("idx"), "hash")
+    top, trees_below = F.lit(TOP).cast("long"), F.lit(n_trees).cast("long")
+    subroots = tops(nodes).select(top.alias("tree"), trees_below.alias("size"), F.col("tree").alias("idx"), "hash")
     over = grow(stage(subroots, "merkle-subroots"), "merkle-top")
     stretches = spots.select("_part", "tree", "size", F.col("_before").alias("lo"), (F.col("_before") + F.col("_rows") - 1).alias("hi"))
-    across = spots.groupBy("_part").agg(top.alias("tree"), n_trees.alias("size"), F.min("tree").alias("lo"), F.max("tree").alias("hi"))
+    across = spots.groupBy("_part").agg(top.alias("tree"), trees_below.alias("size"), F.min("tree").alias("lo"), F.max("tree").alias("hi"))
     beside = missing(stretches.unionByName(across)).join(nodes.unionByName(over).drop("size"), ["tree", "level", "idx"])
-    # every partition also gets the root, one row, to hold what it folds against
-    root = F.broadcast(tops(over).select("tree", F.lit(-1).alias("level"), "idx", "hash"))
-    fetched = beside.unionByName(across.select("_part", "tree").join(root, "tree"))
+    # what proofs are held against: the root, one hash
+    root = tops(over).select(hash_text(F.col("hash")).alias("hash")).first()
+    value = root["hash"] if root else ""
     ready(docs.sparkSession)
-    rows = leaves.withColumn("trees", n_trees)
-    return rows.groupBy("_part").cogroup(fetched.groupBy("_part")).applyInArrow(prove, RESULT)
+    proven = leaves.groupBy("_part").cogroup(beside.groupBy("_part"))
+    return proven.applyInArrow(lambda own, nodes: prove(own, nodes, n_trees, value), RESULT)
