@@ -141,16 +141,19 @@ def crm_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def incremental_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Two deliveries, two runs on one checkpoint: all first versions, then all later changes."""
+    """Three deliveries on one checkpoint, a compaction between: first versions, updates, then deletions and versions
+    that come late with the sequence number of the first."""
     lake, root = _lake(spark), session.scratch(spark, "incremental")
     table, view = lake.name("orders_state"), lake.name("silver_orders_live")
     order_stream.create_orders_table(spark, table, root, view)
-    changes = shapes.bronze_orders(spark, sf, "UDNZ")
-    for delivery in (F.col("seq") == 1, F.col("seq") > 1):
+    changes = shapes.bronze_orders(spark, sf, "UDNZE")
+    first, op = F.col("seq") == 1, F.col("op")
+    for n, delivery in enumerate((first & (op == "I"), F.col("seq") == 2, (op == "D") | first & (op == "U"))):
         landing = shapes.land_orders(changes.filter(delivery), f"{root}/landing")
         source = order_stream.order_changes(spark, landing)
         order_stream.ingest_orders(source, table, root, f"{root}/checkpoint", RUN_TS).awaitTermination()
-    spark.catalog.refreshTable(table)
+        if n == 1:
+            order_stream.compact_orders(spark, table, root, view)
     return spark.table(view)
 
 
@@ -398,6 +401,7 @@ _SQL_ORDER_KINDS = {
     "Z": "SELECT concat('Z', order_id), customer_id, order_date, -total_amount, status, 1, 'I' FROM order_base WHERE k % 89 = 0",
     "B": "SELECT concat('B', order_id), customer_id, 'not-a-date', total_amount, status, 1, 'I' FROM order_base WHERE k % 101 = 0",
     "S": "SELECT concat('S', order_id), customer_id, order_date, total_amount, 'shipped', 1, 'I' FROM order_base WHERE k % 103 = 0",
+    "E": "SELECT order_id, customer_id, order_date, total_amount + 5, status, 1, 'U' FROM order_base WHERE k % 71 = 0",
 }
 
 
@@ -621,7 +625,12 @@ def oracle_sql() -> dict[str, str]:
             "ON c.customer_id = n.customer_id AND c.export_date = n.d",
             _SQL_CRM,
         ),
-        "incremental_orders": _from_orders("SELECT * FROM silver_orders", "UDNZ"),
+        # versions that share a sequence number: the larger amount stays, and the amounts are all that differs
+        "incremental_orders": _from_orders(
+            "SELECT * FROM silver_orders s WHERE NOT EXISTS "
+            "(SELECT 1 FROM silver_orders t WHERE t.order_id = s.order_id AND t.total_amount > s.total_amount)",
+            "UDNZE",
+        ),
         "stream_clickstream": silver_clicks,
         "stream_clickstream_backlog": silver_clicks,
         "dedup_latest": _with(

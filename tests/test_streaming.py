@@ -115,128 +115,3 @@ def test_source_limits(spark, tmp_path):
     assert cs.click_source(spark, str(tmp_path), max_bytes=cs.FLUSH_BYTES).isStreaming
 
 
-# ---------------------------------------------------------------- orders
-
-
-class Orders:
-    """Change files, the state table and a full refresh over everything delivered so far."""
-
-    def __init__(self, spark, root, lake):
-        self.spark, self.root = spark, str(root)
-        self.table, self.view = lake.name("state"), lake.name("live")
-        os_.create_orders_table(spark, self.table, self.root, self.view)
-
-    def deliver(self, *changes):
-        df = self.spark.createDataFrame(list(changes), BRONZE_ORDER_CHANGES)
-        df.coalesce(1).write.mode("append").parquet(f"{self.root}/landing")
-
-    def run(self, **kwargs):
-        source = os_.order_changes(self.spark, f"{self.root}/landing")
-        os_.ingest_orders(source, self.table, self.root, f"{self.root}/check", RUN_TS, **kwargs).awaitTermination()
-        self.spark.catalog.refreshTable(self.table)
-
-    def live(self, *columns):
-        return rows(self.spark.table(self.view), *columns)
-
-    def full(self):
-        bronze = self.spark.read.schema(BRONZE_ORDER_CHANGES).parquet(f"{self.root}/landing")
-        return rows(clean_orders(bronze, RUN_TS))
-
-    def partitions(self):
-        return {r.partition for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()}
-
-
-@pytest.fixture
-def orders(spark, tmp_path, lake):
-    return Orders(spark, tmp_path / "orders", lake)
-
-
-def _change(order, date, amount, seq, op="U", status="completed", customer="c"):
-    return (order, customer, date, amount, status, seq, op)
-
-
-def test_incremental_equals_full_refresh_in_any_order_of_arrival(orders):
-    orders.deliver(
-        _change("1", "2024-01-05", 1.0, 1, "I"),
-        _change("2", "2024-01-06", 2.0, 1, "I"),
-        _change("3", "2024-02-06", 3.0, 1, "I"),
-        _change(None, "2024-02-06", 3.0, 1, "I"),
-        _change("9", "2024-02-06", 3.0, 1, "I", customer=None),
-    )
-    orders.run()
-    assert orders.live() == orders.full()
-    # 1 moves to March and empties nothing; 3 is deleted and empties February; 4 comes before its past.
-    orders.deliver(
-        _change("1", "2024-03-05", 1.5, 3),
-        _change("3", "2024-02-06", 3.0, 2, "D"),
-        _change("4", "2024-03-01", -4.0, 5),
-    )
-    orders.run()
-    assert orders.live() == orders.full()
-    assert orders.live("order_id", "order_month") == [("1", 3), ("2", 1)]
-    assert "live=true/order_year=2024/order_month=2" not in orders.partitions()
-    # Late: older versions of all of them must change nothing, also of the deleted and the bad one.
-    orders.deliver(_change("1", "2024-04-01", 9.0, 2), _change("3", "2024-02-07", 9.0, 1), _change("4", "2024-03-01", 4.0, 4))
-    orders.run()
-    assert orders.live() == orders.full()
-    assert orders.live("order_id", "total_amount") == [("1", 1.5), ("2", 2.0)]
-    orders.run()
-    assert orders.live() == orders.full()
-
-
-@pytest.mark.parametrize("swapped", [False, True])
-def test_ties_of_one_sequence_number_end_as_in_a_full_refresh(orders, swapped):
-    pairs = [
-        (_change("1", "2024-01-05", 1.0, 1, status="completed"), _change("1", "2024-01-05", 1.0, 1, status="Returned")),
-        (_change("2", "2024-01-05", 1.0, 1), _change("2", "2024-02-05", 1.0, 1)),
-        (_change("3", "2024-01-05", 1.0, 1), _change("3", "2024-01-05", 1.0, 1, "D")),
-        (_change("4", "2024-01-05", 1.0, 1), _change("4", "2024-01-05", 2.0, 1)),
-    ]
-    for i in (1, 0) if swapped else (0, 1):
-        orders.deliver(*(pair[i] for pair in pairs))
-        orders.run()
-    assert orders.live() == orders.full()
-    assert orders.live("order_id", "status")[0] == ("1", "RETURNED")
-
-
-def test_a_batch_run_again_changes_nothing(orders, spark):
-    orders.deliver(*(_change(str(i), f"2024-0{i % 3 + 1}-05", float(i + 1), i) for i in range(12)))
-    orders.run()
-    before = orders.live()
-    changes = spark.read.schema(BRONZE_ORDER_CHANGES).parquet(f"{orders.root}/landing")
-    os_.upsert_orders(changes, orders.table, orders.root, RUN_TS)
-    assert orders.live() == before
-
-
-def test_a_batch_that_stopped_half_way_is_completed_by_its_rerun(orders, spark, monkeypatch):
-    orders.deliver(_change("1", "2024-01-05", 1.0, 1, "I"), _change("2", "2024-01-06", 2.0, 1, "I"))
-    orders.run()
-    orders.deliver(_change("1", "2024-02-05", 1.0, 2), _change("2", "2024-03-05", 2.0, 2))
-    point = os_._point
-    monkeypatch.setattr(os_, "_point", lambda s, t, stage, filled, emptied: point(s, t, stage, filled[:1], emptied) or 1 / 0)
-    with pytest.raises(StreamingQueryException):
-        orders.run()
-    monkeypatch.setattr(os_, "_point", point)
-    orders.run()
-    assert orders.live() == orders.full()
-
-
-def test_gate_stops_the_batch_and_leaves_the_table(orders):
-    orders.deliver(_change("1", "2024-01-05", 1.0, 1, "I"))
-    orders.run()
-    before, partitions = orders.live(), orders.partitions()
-    orders.deliver(_change("2", "2024-01-05", 1.0, 1, status="shipped"), _change("3", "no-date", 1.0, 1))
-    with pytest.raises(StreamingQueryException, match="status"):
-        orders.run()
-    orders.spark.catalog.refreshTable(orders.table)
-    assert orders.live() == before and orders.partitions() == partitions
-
-
-def test_rewrite_reads_only_touched_partitions(orders, spark):
-    orders.deliver(*(_change(str(i), f"2024-0{i % 6 + 1}-05", 1.0, 1) for i in range(12)))
-    orders.run()
-    kept = spark.table(orders.table).filter(os_._within([(True, 2024, 1), (True, 2024, 2)]))
-    assert kept.count() == 4
-    assert len(kept.inputFiles()) < len(spark.table(orders.table).inputFiles())
-    assert "live" in physical(kept).split("PartitionFilters")[1].split("\n")[0]
-    assert kept.filter(F.col("order_month") > 2).count() == 0

@@ -8,7 +8,7 @@ from datetime import date, datetime, timezone
 from . import session
 from .plans import flows
 from .sources.readers import read_clicks, read_crm, read_orders
-from .streaming.orders import create_orders_table, ingest_orders, order_changes
+from .streaming.orders import compact_orders, create_orders_table, ingest_orders, order_changes
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -34,6 +34,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     orders.add_argument("--changes", required=True, help="folder the change files land in")
     orders.add_argument("--root", required=True, help="folder of the incremental table")
     orders.add_argument("--checkpoint", required=True)
+    orders.add_argument("--seq", default="seq", help="column with the order of the changes")
+    orders.add_argument("--op", default="op", help="column with the kind of change")
+
+    compact = jobs.add_parser("compact-orders", help="fold the log of order changes into its base")
+    compact.add_argument("--root", required=True, help="folder of the incremental table")
     return parser.parse_args(argv)
 
 
@@ -56,9 +61,13 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "load":
         flows.load_warehouse(spark, lake, args.buckets)
     else:
-        table = lake.name("orders_state")
-        create_orders_table(spark, table, args.root, lake.name("silver_orders_live"))
-        ingest_orders(order_changes(spark, args.changes), table, args.root, args.checkpoint, run_ts).awaitTermination()
+        table, view = lake.name("orders_state"), lake.name("silver_orders_live")
+        create_orders_table(spark, table, args.root, view)
+        if args.job == "orders":
+            changes = order_changes(spark, args.changes, sequence=args.seq, op_col=args.op)
+            ingest_orders(changes, table, args.root, args.checkpoint, run_ts).awaitTermination()
+        else:
+            compact_orders(spark, table, args.root, view)
 
 
 if __name__ == "__main__":

@@ -43,7 +43,7 @@ def bronze_orders(spark: SparkSession, sf_dir: str, kinds: str) -> DataFrame:
     """Order changes. ``kinds`` picks the added rows:
 
     U updated amount and state, D deleted, N no customer, Z negative amount, B date that is none,
-    S state that is none.
+    S state that is none, E another amount under the sequence number of the first version.
     """
     base = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"),
@@ -72,6 +72,7 @@ def bronze_orders(spark: SparkSession, sf_dir: str, kinds: str) -> DataFrame:
         "Z": (89, renamed("Z", total_amount=-F.col("total_amount"))),
         "B": (101, renamed("B", order_date=F.lit("not-a-date"))),
         "S": (103, renamed("S", status=F.lit("shipped"))),
+        "E": (71, change(1, "U", total_amount=F.col("total_amount") + 5)),
     }
     return _with_added(base, _ORDER_COLUMNS, [added[kind] for kind in kinds])
 
