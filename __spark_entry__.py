@@ -27,6 +27,7 @@ from tierflow.streaming import orders as order_stream
 
 AS_OF = date(2001, 8, 1)
 RUN_TS = datetime(2001, 8, 1, 2)
+LATE_HOURS = 10000
 
 # Which added rows the order table has: those cleaning deals with, those the gate finds, all of them.
 CLEANABLE, FAILING, CHANGES, EVERYTHING = "UNZ", "UNZBS", "UD", "UDNZBS"
@@ -157,21 +158,31 @@ def incremental_orders(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(view)
 
 
+def _stream_clicks(spark: SparkSession, sf: str, deliveries: int = 1, max_files: int | None = None) -> str:
+    """The click tables after the stream took in whole deliveries of the clicks, a run each; their name."""
+    lake, path = _lake(spark), session.scratch(spark, "stream")
+    name, root = lake.name("silver_clicks"), f"{path}/silver"
+    click_stream.create_click_tables(spark, name, root)
+    for _ in range(deliveries):
+        shapes.land_clicks(shapes.bronze_clicks(spark, sf), f"{path}/landing")
+        raw = click_stream.click_source(spark, f"{path}/landing", max_files=max_files)
+        with click_stream.Progress(spark, name, root) as progress:
+            progress.finish(click_stream.ingest_clicks(raw, name, root, f"{path}/checkpoint", RUN_TS))
+    return name
+
+
 def stream_clickstream(spark: SparkSession, sf: str) -> DataFrame:
-    path = session.scratch(spark, "stream")
-    shapes.land_clicks(shapes.bronze_clicks(spark, sf), f"{path}/landing")
-    raw = click_stream.click_source(spark, f"{path}/landing")
-    click_stream.ingest_clicks(raw, f"{path}/silver", f"{path}/checkpoint", RUN_TS).awaitTermination()
-    return readers.read_silver(spark, f"{path}/silver").select(*_SILVER_CLICK_RESULT)
+    return spark.table(_stream_clicks(spark, sf)).select(*_SILVER_CLICK_RESULT)
 
 
 def stream_clickstream_backlog(spark: SparkSession, sf: str) -> DataFrame:
     """The same clicks as a backlog that is taken in many micro-batches, in whatever order the files come."""
-    path = session.scratch(spark, "backlog")
-    shapes.land_clicks(shapes.bronze_clicks(spark, sf), f"{path}/landing")
-    raw = click_stream.click_source(spark, f"{path}/landing", max_files=500)
-    click_stream.ingest_clicks(raw, f"{path}/silver", f"{path}/checkpoint", RUN_TS).awaitTermination()
-    return readers.read_silver(spark, f"{path}/silver").select(*_SILVER_CLICK_RESULT)
+    return spark.table(_stream_clicks(spark, sf, max_files=500)).select(*_SILVER_CLICK_RESULT)
+
+
+def stream_gated(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every delivered click when all are delivered twice; the outcomes add up."""
+    return click_stream.balance(spark, _stream_clicks(spark, sf, deliveries=2))
 
 
 # ---------------------------------------------------------------- silver
@@ -325,6 +336,7 @@ _QUERIES: dict[str, Query] = {
     "incremental_orders": incremental_orders,
     "stream_clickstream": stream_clickstream,
     "stream_clickstream_backlog": stream_clickstream_backlog,
+    "stream_gated": stream_gated,
     # silver
     "dedup_latest": dedup_newest_order,
     "silver_orders": _orders,
@@ -370,6 +382,7 @@ _QUERIES: dict[str, Query] = {
     "segment_breakdown": _on(reports.segment_breakdown, _profile),
     "recency_monetary_points": _on(reports.recency_monetary_points, _profile),
     "churn_cohort_summary": _on(reports.churn_cohort_summary, _profile),
+    "late_clicks": lambda spark, sf: reports.late_clicks(_clicks(spark, sf), hours=LATE_HOURS),
 }
 
 
@@ -633,6 +646,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_clickstream": silver_clicks,
         "stream_clickstream_backlog": silver_clicks,
+        "stream_gated": _with(
+            "SELECT outcome, CAST(rows AS BIGINT) AS rows FROM (SELECT 'delivered' AS outcome, 2 * count(*) AS rows FROM bronze_clicks "
+            "UNION ALL SELECT 'accepted', count(DISTINCT event_id) FROM bronze_clicks WHERE customer_id IS NOT NULL AND event_type IS NOT NULL "
+            "UNION ALL SELECT 'rejected: customer_id', count(DISTINCT event_id) FROM bronze_clicks WHERE customer_id IS NULL "
+            "UNION ALL SELECT 'rejected: event_type', count(DISTINCT event_id) FROM bronze_clicks WHERE customer_id IS NOT NULL AND event_type IS NULL "
+            "UNION ALL SELECT 'duplicate', 2 * count(*) - count(DISTINCT event_id) FROM bronze_clicks)",
+            _SQL_CLICKS,
+        ),
         "dedup_latest": _with(
             "SELECT * FROM bronze_orders QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, "
             "order_id DESC, total_amount DESC, status DESC, seq DESC, op DESC) = 1",
@@ -710,6 +731,13 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT rfm_segment, count(*) AS customer_count, {share} FROM profile GROUP BY rfm_segment"
         ),
         "recency_monetary_points": _from_profile("SELECT customer_id, recency_days, monetary_value, churn_risk FROM profile"),
+        "late_clicks": _with(
+            "SELECT event_date, count(*) AS clicks, count(*) FILTER (date_diff('second', date_trunc('second', event_ts), processed_at) "
+            f"> {LATE_HOURS * 3600}) AS late_clicks, round(max(date_diff('second', date_trunc('second', event_ts), processed_at)) / 3600.0, 2) "
+            "AS max_delay_hours FROM silver_clicks GROUP BY event_date",
+            _SQL_CLICKS,
+            _SQL_SILVER_CLICKS,
+        ),
         "churn_cohort_summary": _from_profile(
             "SELECT churn_risk, count(*) AS customer_count, round(avg(recency_days), 2) AS avg_recency_days, "
             "round(avg(frequency), 2) AS avg_frequency, round(avg(monetary_value), 2) AS avg_monetary_value, "

@@ -1,4 +1,4 @@
-"""Command line for a scheduler: ``python -m tierflow silver|gold|load|orders --database ...``."""
+"""Command line for a scheduler: ``python -m tierflow <job> --database ...``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from datetime import date, datetime, timezone
 from . import session
 from .plans import flows
 from .sources.readers import read_clicks, read_crm, read_orders
+from .streaming.clicks import FLUSH_BYTES, FLUSH_INTERVAL, Progress, click_source, compact_clicks, create_click_tables, ingest_clicks
 from .streaming.orders import compact_orders, create_orders_table, ingest_orders, order_changes
 
 
@@ -37,6 +38,17 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     orders.add_argument("--seq", default="seq", help="column with the order of the changes")
     orders.add_argument("--op", default="op", help="column with the kind of change")
 
+    clicks = jobs.add_parser("clicks", help="take in new click files as a stream")
+    clicks.add_argument("--clicks", required=True, help="folder the click files land in")
+    clicks.add_argument("--root", required=True, help="folder of the click tables")
+    clicks.add_argument("--checkpoint", required=True)
+    clicks.add_argument("--interval", help=f"time between flushes, such as '{FLUSH_INTERVAL}'; without it what is there is taken in")
+    clicks.add_argument("--max-bytes", type=int, default=FLUSH_BYTES, help="about how much a flush takes in")
+    clicks.add_argument("--files", type=int, help="files of a flush")
+
+    compact = jobs.add_parser("compact-clicks", help="fold the log of clicks into its base")
+    compact.add_argument("--root", required=True, help="folder of the click tables")
+
     compact = jobs.add_parser("compact-orders", help="fold the log of order changes into its base")
     compact.add_argument("--root", required=True, help="folder of the incremental table")
     return parser.parse_args(argv)
@@ -60,6 +72,17 @@ def main(argv: list[str] | None = None) -> None:
         flows.run_gold(spark, lake, args.as_of or now.date(), run_ts, args.orders_table)
     elif args.job == "load":
         flows.load_warehouse(spark, lake, args.buckets)
+    elif args.job in ("clicks", "compact-clicks"):
+        name = lake.name("silver_clicks")
+        create_click_tables(spark, name, args.root)
+        if args.job == "compact-clicks":
+            compact_clicks(spark, name, args.root)
+            return
+        # what is there is taken in at once; a flush is bounded when there is one after the other
+        raw = click_source(spark, args.clicks, max_bytes=args.max_bytes if args.interval else None)
+        with Progress(spark, name, args.root) as progress:
+            query = ingest_clicks(raw, name, args.root, args.checkpoint, args.run_ts, args.interval, args.files)
+            progress.finish(query)
     else:
         table, view = lake.name("orders_state"), lake.name("silver_orders_live")
         create_orders_table(spark, table, args.root, view)

@@ -59,5 +59,11 @@ def batch_name(spark: SparkSession, number: int) -> str:
     return f"{query or uuid.uuid4()}-{number:09d}"
 
 
+def settled(names: Sequence[str]) -> list[str]:
+    """Batches that no stream will repeat: all but the newest of each."""
+    newest = {n.rpartition("-")[0]: n for n in sorted(names)}
+    return [n for n in names if n not in newest.values()]
+
+
 def properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}

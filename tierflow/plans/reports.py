@@ -113,3 +113,13 @@ def churn_cohort_summary(profile: DataFrame) -> DataFrame:
         F.round(F.avg("monetary_value"), 2).alias("avg_monetary_value"),
     )
     return cohorts.withColumn("share_percent", _share("customer_count"))
+
+
+def late_clicks(clicks: DataFrame, hours: float = 24.0) -> DataFrame:
+    """Clicks per day, those that reached silver more than ``hours`` after they happened, and the longest delay."""
+    delay = (F.unix_timestamp("processed_at") - F.unix_timestamp("event_ts")) / 3600.0
+    return (
+        clicks.groupBy("event_date")
+        .agg(F.count(F.lit(1)).alias("clicks"), F.count_if(delay > hours).alias("late_clicks"), F.round(F.max(delay), 2).alias("max_delay_hours"))
+        .orderBy("event_date")
+    )

@@ -18,10 +18,12 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Stream state on the executors' disks instead of their heaps: it holds a day of event keys.
+    # Stream state on the executors' disks instead of their heaps, where it holds the ids of all events; a
+    # micro-batch adds what it changed to the checkpoint, not the whole state.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # What rebalanced writes and coalesced shuffles aim at, where the caller asks for nothing else.
