@@ -242,8 +242,8 @@ def dq_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 def _gold_counts(spark: SparkSession, sf: str) -> DataFrame:
     lake, gold, _ = _gold(spark, sf)
-    crm, orders, clicks = (spark.table(lake.name(f"silver_{t}")) for t in ("customers", "orders", "clicks"))
-    return quality.gold_counts(gold, crm, orders, clicks)
+    names = {"orders": "silver_orders", "clicks": "silver_clicks", "crm": "silver_customers"}
+    return quality.gold_counts(gold, {side: sinks.resolve(spark, lake.name(t))[1] for side, t in names.items()})
 
 
 def gold_validation(spark: SparkSession, sf: str) -> DataFrame:

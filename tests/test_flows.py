@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import ArithmeticException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow import __main__ as command
@@ -15,6 +16,7 @@ from tierflow.sources import readers, shapes
 from tierflow.sources.readers import CORRUPT
 
 from .conftest import RUN_TS, rows
+from .plans import physical
 
 SF = "/root/testdata/sf0.001"
 AS_OF = dt.date(2001, 8, 1)
@@ -45,6 +47,24 @@ def test_invariants(spark, lake):
     assert rows(gold.select("updated_at").distinct()) == rows(export.select("updated_at").distinct()) == [(RUN_TS,)]
 
 
+def test_gold_reads_each_silver_table_once(spark, lake, monkeypatch):
+    """Row counts are those noted on the versions; the checks read the profile alone."""
+    flows.run_silver(lake, *_bronze(spark), RUN_TS)
+    names = {"orders": "silver_orders", "clicks": "silver_clicks", "crm": "silver_customers"}
+    counts = {side: spark.table(lake.name(t)).count() for side, t in names.items()}
+    monkeypatch.setattr(DataFrame, "count", lambda self: pytest.fail("a table was counted again"))
+    assert {side: sinks.resolve(spark, lake.name(t))[1] for side, t in names.items()} == counts
+    seen, taken = [], quality.gold_counts
+    monkeypatch.setattr(quality, "gold_counts", lambda gold, rows: seen.append((taken(gold, rows), rows)) or seen[-1][0])
+    profiles, store = [], flows.store
+    monkeypatch.setattr(flows, "store", lambda df, *a, **k: profiles.append(df) or store(df, *a, **k))
+    flows.run_gold(spark, lake, AS_OF, RUN_TS)
+    ((checked, noted),) = seen
+    assert noted == counts
+    assert physical(checked).count("Location: ") == 1 and "customer_profile__" in physical(checked)
+    assert physical(profiles[0]).count("Location: ") == 3
+
+
 def test_a_value_too_large_for_the_export_publishes_nothing(spark, lake):
     orders, clicks, crm = _bronze(spark)
     flows.run_silver(lake, orders, clicks, crm, RUN_TS)

@@ -151,7 +151,7 @@ GOLD = "customer_id string, email string, churn_risk string, rfm_segment string,
 
 
 def _counts(spark, gold, crm_rows=2):
-    return q.gold_counts(spark.createDataFrame(gold, GOLD), spark.range(crm_rows), spark.range(5), spark.range(7))
+    return q.gold_counts(spark.createDataFrame(gold, GOLD), {"crm": crm_rows, "orders": 5, "clicks": 7})
 
 
 def test_gold_counts(spark):
@@ -180,12 +180,6 @@ def test_gold_gate(spark, gold, failed):
     assert q.null_rates(counts).count() == 4
 
 
-def test_assert_no_fanout(spark):
-    q.assert_no_fanout(spark.range(3), spark.range(3))
-    with pytest.raises(q.QualityError):
-        q.assert_no_fanout(spark.range(4), spark.range(3))
-
-
 def test_bad_profile_is_not_published(spark, lake):
     crm = spark.createDataFrame([("a", "f", "l", "a@x", "1", "VIP", "1", "2024-01-01", True, "2024-01-01")], BRONZE_CRM)
     clicks = spark.createDataFrame([("e", "a", "x", None, None, "s", "2024-01-02T00:00:00Z", None, None)], BRONZE_CLICKS)

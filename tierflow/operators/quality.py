@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -205,12 +205,13 @@ def record(report: DataFrame, results_table: str) -> DataFrame:
     return fixed
 
 
-def gate(report: DataFrame, context: str = "quality") -> None:
-    """Raise ``QualityError`` if any rule failed."""
+def gate(report: DataFrame, context: str = "quality") -> list[Row]:
+    """Raise ``QualityError`` if any rule failed, else give back the lines of the report."""
     rows = report.collect()
     failed = [row for row in rows if row["outcome"] != "Passed"]
     if failed:
         raise QualityError(context, rows, failed)
+    return rows
 
 
 # ---------------------------------------------------------------- gold validation
@@ -219,25 +220,23 @@ def gate(report: DataFrame, context: str = "quality") -> None:
 GOLD_KEYS = ("customer_id", "email", "churn_risk", "rfm_segment")
 
 
-def gold_counts(gold: DataFrame, crm: DataFrame, orders: DataFrame, clicks: DataFrame) -> DataFrame:
-    """One row with everything the gold checks need, from one aggregate over the four tables.
+SIDES = ("orders", "clicks", "crm")
+
+
+def gold_counts(gold: DataFrame, rows: Mapping[str, int]) -> DataFrame:
+    """One row with everything the gold checks need, from one aggregate over the profile; ``rows`` says how many rows
+    ``orders``, ``clicks`` and ``crm`` have, which is known since they were published.
 
     To be run on the staged profile, where the counts are real: on the lazy join Catalyst removes the
-    joins from a count, and a guard against fan-out could never fire. The silver tables only give
-    their row counts, which Parquet answers without reading a column.
+    joins from a count, and a guard against fan-out could never fire.
     """
     flags = {
         **{f"null_{c}": F.col(c).isNull() for c in GOLD_KEYS},
         "without_orders": F.col("frequency").isNull(),
         "without_clicks": F.col("total_clicks").isNull(),
     }
-    tagged = gold.select(F.lit("gold").alias("side"), *(e.alias(n) for n, e in flags.items()))
-    for side, df in (("crm", crm), ("orders", orders), ("clicks", clicks)):
-        tagged = tagged.unionByName(df.select(F.lit(side).alias("side")), allowMissingColumns=True)
-    return tagged.agg(
-        *(F.count_if(F.col("side") == s).alias(f"{s}_rows") for s in ("orders", "clicks", "crm", "gold")),
-        *(F.count_if(F.col(n)).alias(n) for n in flags),
-    )
+    counted = gold.agg(F.count(F.lit(1)).alias("gold_rows"), *(F.count_if(e).alias(n) for n, e in flags.items()))
+    return counted.select(*(F.lit(rows[s]).cast("long").alias(f"{s}_rows") for s in SIDES), "*")
 
 
 def _percent(part: str, whole: str = "gold_rows") -> Column:
@@ -313,7 +312,7 @@ def gold_report(counts: DataFrame, context: str, run_ts: datetime) -> DataFrame:
         line("not_empty", None, none, gold, gold > 0),
         line("no_fanout", None, beyond, gold, beyond == 0),
         line("complete", GOLD_KEYS[0], F.col(f"null_{GOLD_KEYS[0]}"), gold, F.col(f"null_{GOLD_KEYS[0]}") == 0),
-        *(line("rows", side, none, F.col(f"{side}_rows")) for side in ("orders", "clicks", "crm", "gold")),
+        *(line("rows", side, none, F.col(f"{side}_rows")) for side in (*SIDES, "gold")),
         *(line("null_rate", c, F.col(f"null_{c}"), gold) for c in GOLD_KEYS),
         *(line("without", side, F.col(f"without_{side}"), gold) for side in ("orders", "clicks")),
     ]
@@ -322,14 +321,6 @@ def gold_report(counts: DataFrame, context: str, run_ts: datetime) -> DataFrame:
     )
 
 
-def assert_no_fanout(result: DataFrame, base: DataFrame) -> None:
-    """Raise if a join result has more rows than the table it started from. Give it stored tables."""
-    sides = result.select(F.lit(1).alias("r")).unionAll(base.select(F.lit(0).alias("r")))
-    row = sides.agg(F.count_if(F.col("r") == 1).alias("result"), F.count_if(F.col("r") == 0).alias("base")).first()
-    if row["result"] > row["base"]:
-        raise QualityError("fan-out", [row], [row])
-
-
 # ---------------------------------------------------------------- schema conformance
 
 

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EXPORT, Field
+from .logs import properties
 from .quality import conformance, gate
 
-Check = Callable[[DataFrame], None]
+# Looks at what was stored and raises, or returns what is to be noted on the version.
+Check = Callable[[DataFrame], Mapping[str, object] | None]
 
 # Rows a bucket of the warehouse table should have, where the caller names no number of buckets.
 ROWS_PER_BUCKET = 2_000_000
@@ -80,14 +82,15 @@ def store(
     fmt: str = "parquet",
 ) -> str:
     """Write a version of ``name`` that no reader sees yet and check what was stored; returns the table of the
-    version. If a check raises, that table is dropped."""
+    version. If a check raises, that table is dropped; what the checks return is noted on it."""
     spark = df.sparkSession
     version = _new_version(name, f"{run_ts:%Y%m%d%H%M%S}")
     _writer(df, partition_by, fmt).saveAsTable(version)
     with dropped_on_error(spark, version):
         staged = spark.table(version)
-        for check in checks:
-            check(staged)
+        notes = {k: v for check in checks for k, v in (check(staged) or {}).items()}
+        if notes:
+            spark.sql(f"ALTER TABLE {version} SET TBLPROPERTIES (" + ", ".join(f"'{k}' = '{v}'" for k, v in notes.items()) + ")")
     return version
 
 
@@ -113,7 +116,16 @@ def move(spark: SparkSession, targets: Mapping[str, str], keep: int = 2, source:
 
 def current_version(spark: SparkSession, name: str) -> str:
     """The table that a published name shows now."""
-    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}["version"]
+    return properties(spark, name)["version"]
+
+
+def resolve(spark: SparkSession, name: str) -> tuple[DataFrame, int]:
+    """What a published name shows now and its number of rows: as noted when the version was checked, counted only
+    for a view that has no version, as that of a log."""
+    version = properties(spark, name).get("version")
+    table = spark.table(version or name)
+    noted = properties(spark, version).get("rows") if version else None
+    return table, int(noted) if noted is not None else table.count()
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
@@ -142,7 +154,11 @@ def to_export(gold: DataFrame, fields: Sequence[Field] = EXPORT) -> DataFrame:
 
 def conforms(fields: Sequence[Field] = EXPORT) -> Check:
     """A check for ``publish`` and ``load_table``."""
-    return lambda df: gate(conformance(df, fields), "schema conformance")
+
+    def check(df: DataFrame) -> None:
+        gate(conformance(df, fields), "schema conformance")
+
+    return check
 
 
 def create_bucketed_table(

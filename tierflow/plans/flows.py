@@ -6,7 +6,7 @@ data twice. Orders can instead be kept up to date by ``streaming.orders``, under
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -24,6 +24,7 @@ from ..operators.sinks import (
     move,
     publish,
     publish_bucketed,
+    resolve,
     store,
     to_export,
 )
@@ -47,11 +48,13 @@ class Lake:
 
 
 def _quality_check(lake: Lake, rules: Sequence[quality.Rule], context: str, run_ts: datetime) -> Check:
-    """Evaluate on the staged rows, keep the report whatever it says, then let it pass or not."""
+    """Evaluate on the staged rows, keep the report whatever it says, then let it pass or not. The number of rows
+    that the report counted is noted on the version."""
 
-    def check(staged: DataFrame) -> None:
+    def check(staged: DataFrame) -> dict[str, int]:
         report = quality.evaluate(staged, rules, context, run_ts)
-        quality.gate(quality.record(report, lake.name("dq_results")), context)
+        lines = quality.gate(quality.record(report, lake.name("dq_results")), context)
+        return {"rows": lines[0]["total_rows"]} if lines else {}
 
     return check
 
@@ -142,26 +145,33 @@ def run_gold(
 ) -> tuple[DataFrame, DataFrame]:
     """Profile and typed export; meant to run daily.
 
-    Four jobs: write the profile, check it, write the export from the stored profile, check that. Only
-    then both views move, as the last two statements, so a value the export cannot hold keeps the old profile
-    in place too. The report of the checks is kept in ``dq_results`` whatever it says. The silver tables are
-    resolved once, so a silver refresh meanwhile does not mix versions. ``orders_table`` may be the live view
-    of incremental orders.
+    The silver tables are resolved once, so a silver refresh meanwhile does not mix versions, and read once: how many
+    rows they have is noted on their versions. ``orders_table`` may be the live view of incremental orders.
     """
-    orders, clicks, crm = (spark.table(lake.name(t)) for t in (orders_table, "silver_clicks", "silver_customers"))
+    names = {"orders": orders_table, "clicks": "silver_clicks", "crm": "silver_customers"}
+    silver = {side: resolve(spark, lake.name(t)) for side, t in names.items()}
+    orders, clicks, crm = (silver[side][0] for side in names)
+    profile = customer_profile(crm, orders, clicks, as_of, run_ts)
+    with sized_shuffles(spark, orders, clicks, crm):
+        return publish_gold(spark, lake, profile, {side: rows for side, (_, rows) in silver.items()}, run_ts)
+
+
+def publish_gold(
+    spark: SparkSession, lake: Lake, profile: DataFrame, rows: Mapping[str, int], run_ts: datetime
+) -> tuple[DataFrame, DataFrame]:
+    """Four jobs: write the profile, check it, write the export from the stored profile, check that. Only then both
+    views move, as the last two statements, so a value the export cannot hold keeps the old profile in place too.
+    The report of the checks is kept in ``dq_results`` whatever it says."""
 
     def check(staged: DataFrame) -> None:
-        counts = quality.gold_counts(staged, crm, orders, clicks)
-        report = quality.gold_report(counts, "profile", run_ts)
+        report = quality.gold_report(quality.gold_counts(staged, rows), "profile", run_ts)
         quality.gate(quality.record(report, lake.name("dq_results")), "profile")
 
     gold_name, export_name = lake.name("customer_profile"), lake.name("profile_export")
-    profile = customer_profile(crm, orders, clicks, as_of, run_ts)
-    with sized_shuffles(spark, orders, clicks, crm):
-        gold = store(profile, gold_name, run_ts, checks=[check], fmt=lake.fmt)
-        with dropped_on_error(spark, gold):
-            # Plain Parquet whatever the lake's own format is: the readers of the export know nothing else.
-            export = store(to_export(spark.table(gold)), export_name, run_ts, checks=[conforms()])
+    gold = store(profile, gold_name, run_ts, checks=[check], fmt=lake.fmt)
+    with dropped_on_error(spark, gold):
+        # Plain Parquet whatever the lake's own format is: the readers of the export know nothing else.
+        export = store(to_export(spark.table(gold)), export_name, run_ts, checks=[conforms()])
     move(spark, {gold_name: gold, export_name: export}, source=gold)
     return spark.table(gold), spark.table(export)
 
