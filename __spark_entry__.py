@@ -20,7 +20,7 @@ from tierflow.functions.features import click_features, customer_features, rfm_f
 from tierflow.functions.scoring import churn_risk, rfm_segment
 from tierflow.operators import quality, sinks
 from tierflow.operators.dedup import apply_changes, dedup_latest, latest_snapshot
-from tierflow.plans import flows, reports
+from tierflow.plans import flows, incremental, reports
 from tierflow.sources import catalog, readers, shapes
 from tierflow.streaming import clicks as click_stream
 from tierflow.streaming import orders as order_stream
@@ -265,6 +265,31 @@ def gold_profile(spark: SparkSession, sf: str) -> DataFrame:
     return _gold(spark, sf)[1]
 
 
+def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Three deliveries of orders and clicks, a run of the incremental gold after each and compactions between; the
+    later ones delete, correct and repeat."""
+    lake, root = _lake(spark), session.scratch(spark, "gold")
+    orders, clicks = (lake.name("orders_state"), lake.name("silver_orders_live")), lake.name("silver_clicks")
+    order_stream.create_orders_table(spark, orders[0], f"{root}/orders", orders[1])
+    click_stream.create_click_tables(spark, clicks, f"{root}/clicks")
+    flows.refresh_crm(lake, shapes.bronze_crm(spark, sf), RUN_TS)
+    changes, events = shapes.bronze_orders(spark, sf, CLEANABLE + "D"), shapes.bronze_clicks(spark, sf)
+    thirds = F.pmod(F.xxhash64("session_id"), F.lit(3))
+    for n in range(3):
+        shapes.land_orders(changes.filter(F.col("seq") == n + 1), f"{root}/landing/orders")
+        shapes.land_clicks(events.filter(thirds <= n), f"{root}/landing/clicks")
+        source = order_stream.order_changes(spark, f"{root}/landing/orders")
+        order_stream.ingest_orders(source, orders[0], f"{root}/orders", f"{root}/check/orders", RUN_TS).awaitTermination()
+        raw = click_stream.click_source(spark, f"{root}/landing/clicks")
+        click_stream.ingest_clicks(raw, clicks, f"{root}/clicks", f"{root}/check/clicks", RUN_TS).awaitTermination()
+        gold, _ = incremental.run_gold_incremental(spark, lake, f"{root}/gold", AS_OF, RUN_TS)
+        if n == 1:
+            order_stream.compact_orders(spark, orders[0], f"{root}/orders", orders[1], only=incremental.taken(spark, lake, f"{orders[0]}_log"))
+            click_stream.compact_clicks(spark, clicks, f"{root}/clicks", only=incremental.taken(spark, lake, f"{clicks}_log"))
+            incremental.compact_state(spark, lake)
+    return gold
+
+
 def gold_export(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(_gold(spark, sf)[2])
 
@@ -366,6 +391,7 @@ _QUERIES: dict[str, Query] = {
     ),
     "customer_profile_later": _later_profile,
     "gold_profile": gold_profile,
+    "gold_incremental": gold_incremental,
     "gold_export": gold_export,
     "warehouse_load": warehouse_load,
     "publish_versioned": publish_versioned,
@@ -694,6 +720,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "customer_profile_later": _from_profile("SELECT * FROM profile", as_of=date(2001, 12, 31)),
         "gold_profile": _from_profile("SELECT * FROM profile"),
+        "gold_incremental": _from_profile("SELECT * FROM profile", CLEANABLE + "D"),
         "gold_export": export,
         "warehouse_load": export,
         "publish_versioned": silver_crm,

@@ -252,17 +252,25 @@ def balance(spark: SparkSession, name: str) -> DataFrame:
     return measured.unionAll(accepted).unionAll(reasons.agg(F.count(F.lit(1)).alias("rows")))
 
 
+def shown_clicks(spark: SparkSession, name: str, names: Sequence[str]) -> DataFrame:
+    """Accepted clicks of the base and of the named batches of the log."""
+    fold = int(logs.properties(spark, name)["fold"])
+    base = spark.table(f"{name}_base").filter((F.col("kind") == "accepted") & (F.col("fold") <= fold))
+    return base.select(*SILVER).unionAll(logs.read(spark, f"{name}_log", names).filter("kind = 'accepted'").select(*SILVER))
+
+
 # ---------------------------------------------------------------- compaction
 
 
-def compact_clicks(spark: SparkSession, name: str, root: str) -> None:
+def compact_clicks(spark: SparkSession, name: str, root: str, only: Sequence[str] | None = None) -> None:
     """Fold the batches that are in the log now into the base: their rows are written once more, by kind and day, and
     nothing that is in the base already. The new partitions are hidden until a view names their fold, and a view
     that does leaves the folded batches out, so each view shows every row once at any time. The newest batch of a
-    stream stays, as the stream may repeat it. One compaction at a time."""
+    stream stays, as the stream may repeat it. ``only`` names the batches that may be folded, where another job reads
+    the log too. One compaction at a time."""
     log, base = f"{name}_log", f"{name}_base"
     fold = _finish_views(spark, name)
-    names = logs.settled(logs.batches(spark, log))
+    names = [n for n in logs.settled(logs.batches(spark, log)) if only is None or n in only]
     if not names:
         return
     _clear(spark, base, fold)

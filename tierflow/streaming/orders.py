@@ -190,15 +190,17 @@ def append_changes(
 
 
 def compact_orders(
-    spark: SparkSession, table: str, root: str, view: str, rules: Sequence[Rule] = ORDER_RULES, keep: int = 2
-) -> None:
+    spark: SparkSession, table: str, root: str, view: str, rules: Sequence[Rule] = ORDER_RULES, keep: int = 2,
+    only: Sequence[str] | None = None,
+) -> None:
     """Fold the batches that are in the log now into a new base, then move the view, then forget the batches.
 
     Only months that hold an order of the log, before or after, are written; the others are taken over as they are.
     This is the one place where keys of the base are looked up. One compaction at a time; batches may be
-    added meanwhile and stay in the log. What comes to the driver are partition values and their folders.
+    added meanwhile and stay in the log. ``only`` names the batches that may be folded, where another job reads the
+    log too. What comes to the driver are partition values and their folders.
     """
-    names = logs.batches(spark, _log(table))
+    names = [n for n in logs.batches(spark, _log(table)) if only is None or n in only]
     if not names:
         return
     old = current_base(spark, view)
