@@ -23,6 +23,7 @@ from tierflow.operators.dedup import apply_changes, dedup_latest, latest_snapsho
 from tierflow.plans import flows, incremental, reports
 from tierflow.sources import catalog, readers, shapes
 from tierflow.streaming import clicks as click_stream
+from tierflow.streaming import crm as crm_stream
 from tierflow.streaming import orders as order_stream
 
 AS_OF = date(2001, 8, 1)
@@ -158,6 +159,17 @@ def incremental_orders(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(view)
 
 
+def incremental_crm(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily exports in two deliveries, the newest first."""
+    lake, root = _lake(spark), session.scratch(spark, "crm")
+    exports = shapes.bronze_crm(spark, sf)
+    for newer in (True, False):
+        shapes.land_crm(exports.filter((F.col("export_date") > "2001-07-31") == newer), f"{root}/landing")
+        source = crm_stream.crm_source(spark, f"{root}/landing")
+        crm_stream.ingest_crm(source, lake, root, f"{root}/checkpoint", RUN_TS).awaitTermination()
+    return spark.table(lake.name("silver_customers"))
+
+
 def _stream_clicks(spark: SparkSession, sf: str, deliveries: int = 1, max_files: int | None = None) -> str:
     """The click tables after the stream took in whole deliveries of the clicks, a run each; their name."""
     lake, path = _lake(spark), session.scratch(spark, "stream")
@@ -359,6 +371,7 @@ _QUERIES: dict[str, Query] = {
     "cdc_latest_state": cdc_latest_state,
     "crm_latest_snapshot": crm_latest_snapshot,
     "incremental_orders": incremental_orders,
+    "incremental_crm": incremental_crm,
     "stream_clickstream": stream_clickstream,
     "stream_clickstream_backlog": stream_clickstream_backlog,
     "stream_gated": stream_gated,
@@ -597,16 +610,41 @@ def _sql_logged(rules: dict, context: str) -> str:
     return _sql_rules(**rules, extra=f", '{context}' AS context, {_RUN} AS run_ts")
 
 
+# The columns of the warehouse table as its declaration has them: name, type, text width, whether it must be filled.
+_WAREHOUSE_COLUMNS = """customer_id varchar 20 required
+first_name varchar 100
+last_name varchar 100
+email varchar 200
+segment varchar 50
+lifetime_value decimal(12,2)
+recency_days int
+frequency int
+monetary_value decimal(12,2)
+return_count int
+total_clicks int
+total_sessions int
+active_days int
+churn_risk varchar 10
+rfm_segment varchar 50
+last_order_date timestamp
+updated_at timestamp"""
+
+
 def _sql_conformance() -> str:
-    """The declaration, with the measured text widths and NULLs of the export."""
+    """The declaration, with the measured text widths and NULLs of the export and what follows from them."""
     lines = []
-    for i, f in enumerate(schemas.EXPORT, 1):
-        longest = f"(SELECT max(length({f.name})) FROM export)" if f.width else "NULL"
-        nulls = f"(SELECT count(*) - count({f.name}) FROM export)" if f.required else "NULL"
+    for i, line in enumerate(_WAREHOUSE_COLUMNS.split("\n"), 1):
+        name, kind, *more = line.split()
+        text, required = kind == "varchar", "required" in more
+        kind = "string" if text else kind
+        longest = f"(SELECT max(length({name})) FROM export)" if text else "NULL"
+        nulls = f"(SELECT count(*) - count({name}) FROM export)" if required else "NULL"
+        fits = f"coalesce({longest} <= {more[0]}, true)" if text else "true"
+        filled = f"{nulls} = 0" if required else "true"
         lines.append(
-            f"SELECT CAST({i} AS INTEGER) AS position, '{f.name}' AS expected_name, '{f.type}' AS expected_type, "
-            f"'{f.name}' AS actual_name, '{f.type}' AS actual_type, CAST({longest} AS INTEGER) AS longest, "
-            f"CAST({nulls} AS BIGINT) AS null_rows, 'Passed' AS outcome"
+            f"SELECT CAST({i} AS INTEGER) AS position, '{name}' AS expected_name, '{kind}' AS expected_type, "
+            f"'{name}' AS actual_name, '{kind}' AS actual_type, CAST({longest} AS INTEGER) AS longest, "
+            f"CAST({nulls} AS BIGINT) AS null_rows, CASE WHEN {fits} AND {filled} THEN 'Passed' ELSE 'Failed' END AS outcome"
         )
     return "\nUNION ALL ".join(lines)
 
@@ -615,16 +653,20 @@ def _sql_validation() -> str:
     gold, crm = "(SELECT count(*) FROM profile)", "(SELECT count(*) FROM silver_crm)"
     empty = "(SELECT count(*) FROM profile WHERE {} IS NULL)".format
     rows = (
-        ("not_empty", gold),
-        ("no_fanout", f"{gold} - {crm}"),
-        ("complete_customer_id", empty("customer_id")),
-        ("orders_rows", "(SELECT count(*) FROM silver_orders)"),
-        ("clicks_rows", "(SELECT count(*) FROM silver_clicks)"),
-        ("crm_rows", crm),
-        ("without_orders", empty("frequency")),
-        ("without_clicks", empty("total_clicks")),
+        ("not_empty", gold, "v > 0"),
+        ("no_fanout", f"{gold} - {crm}", "v <= 0"),
+        ("complete_customer_id", empty("customer_id"), "v = 0"),
+        ("orders_rows", "(SELECT count(*) FROM silver_orders)", "true"),
+        ("clicks_rows", "(SELECT count(*) FROM silver_clicks)", "true"),
+        ("crm_rows", crm, "true"),
+        ("without_orders", empty("frequency"), "true"),
+        ("without_clicks", empty("total_clicks"), "true"),
+    )
+    return "\nUNION ALL ".join(
+        f"SELECT '{n}' AS \"check\", CASE WHEN {holds} THEN 'Passed' ELSE 'Failed' END AS outcome, CAST(v AS BIGINT) AS value "
+        f"FROM (SELECT {v} AS v)"
+        for n, v, holds in rows
     )
-    return "\nUNION ALL ".join(f"SELECT '{n}' AS \"check\", 'Passed' AS outcome, CAST({v} AS BIGINT) AS value" for n, v in rows)
 
 
 def _sql_null_rates() -> str:
@@ -670,6 +712,7 @@ def oracle_sql() -> dict[str, str]:
             "(SELECT 1 FROM silver_orders t WHERE t.order_id = s.order_id AND t.total_amount > s.total_amount)",
             "UDNZE",
         ),
+        "incremental_crm": silver_crm,
         "stream_clickstream": silver_clicks,
         "stream_clickstream_backlog": silver_clicks,
         "stream_gated": _with(

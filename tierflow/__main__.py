@@ -5,10 +5,14 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime, timezone
 
+from pyspark.sql import SparkSession
+
 from . import session
 from .plans import flows
+from .plans.incremental import run_gold_incremental, taken
 from .sources.readers import read_clicks, read_crm, read_orders
 from .streaming.clicks import FLUSH_BYTES, FLUSH_INTERVAL, Progress, click_source, compact_clicks, create_click_tables, ingest_clicks
+from .streaming.crm import crm_source, ingest_crm
 from .streaming.orders import compact_orders, create_orders_table, ingest_orders, order_changes
 
 
@@ -38,6 +42,16 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     orders.add_argument("--seq", default="seq", help="column with the order of the changes")
     orders.add_argument("--op", default="op", help="column with the kind of change")
 
+    crm = jobs.add_parser("customers", help="take in new CRM exports")
+    crm.add_argument("--crm", required=True, help="folder the exports land in")
+    crm.add_argument("--root", required=True, help="folder of the deliveries")
+    crm.add_argument("--checkpoint", required=True)
+    crm.add_argument("--allow-corrupt", action="store_true", help="set lines that do not parse aside and go on")
+
+    gold = jobs.add_parser("gold-incremental", help="profile and export from what is new in the logs of orders and clicks")
+    gold.add_argument("--root", required=True, help="folder of the state")
+    gold.add_argument("--as-of", type=date.fromisoformat, help="default today")
+
     clicks = jobs.add_parser("clicks", help="take in new click files as a stream")
     clicks.add_argument("--clicks", required=True, help="folder the click files land in")
     clicks.add_argument("--root", required=True, help="folder of the click tables")
@@ -54,6 +68,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _taken(spark: SparkSession, lake: flows.Lake, log: str) -> list[str] | None:
+    """The batches a compaction may fold: those the incremental gold has, or any where there is none."""
+    return taken(spark, lake, log) if spark.catalog.tableExists(lake.name("gold_state")) else None
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     now = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -72,11 +91,16 @@ def main(argv: list[str] | None = None) -> None:
         flows.run_gold(spark, lake, args.as_of or now.date(), run_ts, args.orders_table)
     elif args.job == "load":
         flows.load_warehouse(spark, lake, args.buckets)
+    elif args.job == "customers":
+        source = crm_source(spark, args.crm)
+        ingest_crm(source, lake, args.root, args.checkpoint, run_ts, allow_corrupt=args.allow_corrupt).awaitTermination()
+    elif args.job == "gold-incremental":
+        run_gold_incremental(spark, lake, args.root, args.as_of or now.date(), run_ts)
     elif args.job in ("clicks", "compact-clicks"):
         name = lake.name("silver_clicks")
         create_click_tables(spark, name, args.root)
         if args.job == "compact-clicks":
-            compact_clicks(spark, name, args.root)
+            compact_clicks(spark, name, args.root, only=_taken(spark, lake, f"{name}_log"))
             return
         # what is there is taken in at once; a flush is bounded when there is one after the other
         raw = click_source(spark, args.clicks, max_bytes=args.max_bytes if args.interval else None)
@@ -90,7 +114,7 @@ def main(argv: list[str] | None = None) -> None:
             changes = order_changes(spark, args.changes, sequence=args.seq, op_col=args.op)
             ingest_orders(changes, table, args.root, args.checkpoint, run_ts).awaitTermination()
         else:
-            compact_orders(spark, table, args.root, view)
+            compact_orders(spark, table, args.root, view, only=_taken(spark, lake, f"{table}_log"))
 
 
 if __name__ == "__main__":

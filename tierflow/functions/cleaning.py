@@ -104,7 +104,11 @@ def clean_clicks(bronze: DataFrame, run_ts: datetime | None, dedup: Dedup | None
 
 def clean_crm(bronze: DataFrame, run_ts: datetime) -> DataFrame:
     """Silver customers from the daily exports: newest export per customer, email required."""
-    newest = latest_snapshot(bronze, ["customer_id"], "export_date")
+    return conform_crm(latest_snapshot(bronze, ["customer_id"], "export_date"), run_ts)
+
+
+def conform_crm(newest: DataFrame, run_ts: datetime) -> DataFrame:
+    """Silver customers from the newest row of each."""
     return newest.filter(F.col("customer_id").isNotNull() & F.col("email").isNotNull()).withColumns(
         {
             "email": F.lower(F.trim(F.col("email"))),
