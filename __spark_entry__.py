@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 
 from tierflow import schemas, session
 from tierflow.functions.cleaning import clean_clicks, clean_crm, clean_orders
-from tierflow.functions.features import click_features, customer_features, rfm_features
+from tierflow.functions.features import (
+    SKETCH_BOUND,
+    click_features,
+    customer_features,
+    daily_sessions,
+    rfm_features,
+    sketched_click_features,
+)
 from tierflow.functions.scoring import churn_risk, rfm_segment
 from tierflow.operators import quality, sinks
 from tierflow.operators.dedup import apply_changes, dedup_latest, latest_snapshot
@@ -91,6 +98,19 @@ def _gold(spark: SparkSession, sf: str) -> tuple[flows.Lake, DataFrame, DataFram
     return lake, *flows.run_gold(spark, lake, AS_OF, RUN_TS)
 
 
+def click_features_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """Features merged from a stored sketch per customer and day, held against the exact ones."""
+    path = session.scratch(spark, "sketches")
+    clicks = _clicks(spark, sf)
+    daily_sessions(clicks).write.parquet(path)
+    merged = sketched_click_features(spark.read.parquet(path)).withColumnRenamed("total_sessions", "estimate")
+    exact = click_features(clicks).select("customer_id", "total_sessions")
+    off = F.abs(F.col("estimate") - F.col("total_sessions"))
+    return merged.join(exact, "customer_id").select(
+        "customer_id", "total_clicks", "active_days", (off <= SKETCH_BOUND * F.col("total_sessions") + 0.5).alias("within_bound")
+    )
+
+
 # Page, product, device and country are NULL in the derived clicks and left out of results.
 _CLICK_RESULT = ("event_id", "customer_id", "event_type", "session_id", "timestamp")
 _SILVER_CLICK_RESULT = (*_CLICK_RESULT, "event_ts", "event_date", "event_hour", "processed_at")
@@ -395,6 +415,7 @@ _QUERIES: dict[str, Query] = {
     "rfm_features": lambda spark, sf: rfm_features(_orders(spark, sf), AS_OF),
     "rfm_features_unique_orders": lambda spark, sf: rfm_features(_orders(spark, sf), AS_OF, unique_orders=True),
     "click_features": lambda spark, sf: click_features(_clicks(spark, sf)),
+    "click_features_sketched": click_features_sketched,
     "customer_features": _features,
     "churn_risk": lambda spark, sf: churn_risk(_features(spark, sf)).select(
         "customer_id", "recency_days", "frequency", "churn_risk"
@@ -756,6 +777,12 @@ def oracle_sql() -> dict[str, str]:
         "rfm_features": rfm,
         "rfm_features_unique_orders": rfm,
         "click_features": _with("SELECT * FROM engagement", _SQL_CLICKS, _SQL_SILVER_CLICKS, _SQL_ENGAGEMENT),
+        "click_features_sketched": _with(
+            "SELECT customer_id, total_clicks, active_days, true AS within_bound FROM engagement",
+            _SQL_CLICKS,
+            _SQL_SILVER_CLICKS,
+            _SQL_ENGAGEMENT,
+        ),
         "customer_features": _from_profile("SELECT * FROM features"),
         "churn_risk": _from_profile("SELECT customer_id, recency_days, frequency, churn_risk FROM risked"),
         "rfm_segment": _from_profile(

@@ -248,3 +248,41 @@ def test_events_of_one_day(spark):
     assert rows(reports.event_counts_by_type(bronze, day)) == [("search", 1)]
     assert rows(reports.event_counts_by_type(clean_clicks(bronze, RUN_TS), day)) == [("search", 1)]
     assert rows(reports.event_counts_by_type(bronze)) == [("search", 3)]
+
+
+def test_sketches_of_any_range_of_days_merge(spark):
+    from datetime import date
+
+    from tierflow.functions import features
+
+    clicks = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 7)).alias("customer_id"),
+        F.col("id").cast("string").alias("event_id"),
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("s"), (F.col("id") % 20011))).alias("session_id"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 30).cast("int")).alias("event_date"),
+    )
+    daily = features.daily_sessions(clicks)
+    for first, last in ((None, None), (date(2024, 1, 5), date(2024, 1, 20)), (None, date(2024, 1, 1))):
+        within = clicks.filter((F.col("event_date") >= (first or date(2024, 1, 1))) & (F.col("event_date") <= (last or date(2024, 12, 31))))
+        want = {r["customer_id"]: r for r in features.click_features(within).collect()}
+        got = {r["customer_id"]: r for r in features.sketched_click_features(daily, first, last).collect()}
+        assert set(got) == set(want)
+        for c, r in got.items():
+            assert (r["total_clicks"], r["active_days"]) == (want[c]["total_clicks"], want[c]["active_days"])
+            assert abs(r["total_sessions"] - want[c]["total_sessions"]) <= features.SKETCH_BOUND * want[c]["total_sessions"] + 0.5
+
+
+@pytest.mark.parametrize(
+    "report, by, newest_first",
+    [
+        ("monthly_revenue_trend", ["order_year", "order_month"], True),
+        ("event_counts_by_type", ["event_count"], True),
+        ("late_clicks", ["event_date"], False),
+    ],
+)
+def test_sorted_reports_come_in_their_order(spark, report, by, newest_first):
+    import __spark_entry__ as entry_points
+
+    found = entry_points.queries()[report](spark, "/root/testdata/sf0.001").collect()
+    keys = [tuple(r[c] for c in by) for r in found]
+    assert len(set(keys)) > 1 and keys == sorted(keys, reverse=newest_first)

@@ -80,3 +80,17 @@ def test_register_with_options(spark, lake, tmp_path):
     table = catalog.register(spark, lake.name("bronze_crm"), str(tmp_path), "csv", header="true", inferSchema="true")
     assert dict(table.dtypes)["opted_in_marketing"] == "boolean"
     assert table.count() == 1
+
+
+def test_a_known_name_is_not_given_to_other_files_or_columns(spark, tmp_path, lake):
+    from tierflow.sources import catalog
+
+    for folder in ("a", "b"):
+        spark.range(3).write.parquet(f"{tmp_path}/{folder}")
+    name = lake.name("known")
+    catalog.register(spark, name, f"{tmp_path}/a")
+    assert catalog.register(spark, name, f"file:{tmp_path}/a/", schema="id long").count() == 3
+    with pytest.raises(ValueError, match="registered at"):
+        catalog.register(spark, name, f"{tmp_path}/b")
+    with pytest.raises(ValueError, match="other columns"):
+        catalog.register(spark, name, f"{tmp_path}/a", schema="id long, more string")
