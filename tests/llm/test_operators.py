@@ -492,3 +492,20 @@ def test_pipeline(spark):
     want = {(r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in kept[4].collect()}
     got = {(r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == want and {i for i, *_ in got} == set(rows[3])
+
+
+def test_totals_of_a_large_corpus_do_not_overflow():
+    """Two blocks with three thousand million of a word, and of a sequence."""
+    import zstandard
+
+    from tierflow.llm.arrays import press, steps, unpress
+
+    many = np.array([3_000_000_000, 1], dtype="<u4")
+    words = zstandard.ZstdCompressor().compress(b"a\nb")
+    asked = [(suffix_tree.WORDS, 0, block, words, press(many)) for block in (1, 2)]
+    replies = suffix_tree.total_words(suffix_tree._rows(asked, suffix_tree.REQUEST, suffix_tree.REQUEST_TYPES)).to_pylist()
+    assert [unpress(r["totals"], suffix_tree.TOTAL).tolist() for r in replies] == [[6_000_000_000, 2]] * 2 + [[2, 0, 1]]
+    keys = steps(np.array([5, 2**63], dtype=np.uint64))
+    asked = [(suffix_tree.PAIRS, 0, block, press(keys), suffix_tree.press_columns([many])) for block in (1, 2)]
+    replies = suffix_tree.total_keys(suffix_tree._rows(asked, suffix_tree.REQUEST, suffix_tree.REQUEST_TYPES)).to_pylist()
+    assert [unpress(r["totals"], suffix_tree.TOTAL).tolist() for r in replies] == [[6_000_000_000, 2]] * 2

@@ -52,6 +52,8 @@ WORDS, PAIRS, ONE, TRIPLES, TWO = range(5)
 # What a block hands on: places and chances of its tokens in the longest contexts, and figures of its documents.
 PLACES, CHANCE, KNOWN, BASE, MODEL = range(-5, 0)
 FLOATS = (CHANCE, BASE, MODEL)
+KINDS = {PLACES: "<u4", KNOWN: "<u4"} | dict.fromkeys(FLOATS, "<f8")
+TOTAL = "<u8"  # of the whole corpus; the bytes that are zero take no room
 
 
 def deeper(depth: int) -> tuple[int, int, int]:
@@ -368,9 +370,9 @@ def total_words(table: pa.Table) -> pa.Table:
         for word, n in zip(words, unpress(row["payload"], "<u4").tolist(), strict=True):
             totals[word] = totals.get(word, 0) + n
         asked.append(words)
-    out = [(r["block"], WORDS, r["bucket"], press(np.array([totals[w] for w in words], dtype="<u4"))) for r, words in zip(rows, asked, strict=True)]
+    out = [(r["block"], WORDS, r["bucket"], press(np.array([totals[w] for w in words], dtype=TOTAL))) for r, words in zip(rows, asked, strict=True)]
     counts = np.fromiter(totals.values(), dtype=np.int64, count=len(totals))
-    out.append((-1, WORDS, rows[0]["bucket"], press(np.array([(counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()], dtype="<u4"))))
+    out.append((-1, WORDS, rows[0]["bucket"], press(np.array([(counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()], dtype=TOTAL))))
     return _rows(out, REPLY, REPLY_TYPES)
 
 
@@ -382,14 +384,14 @@ def total_keys(table: pa.Table) -> pa.Table:
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     if number in (PAIRS, TRIPLES) or (number > TWO and (number - TWO) % 3):
         counts = np.concatenate([unpress_columns(r["payload"], ("<u4",))[0] for r in rows])
-        totals = np.bincount(inverse, counts, minlength=len(distinct))
+        totals = np.bincount(inverse, counts, minlength=len(distinct))  # exact below 2 ** 53
     else:
         parts = zip(*(unpress_columns(r["payload"], CONTEXT) for r in rows), strict=True)
         gain, types, single, n = (np.bincount(inverse, np.concatenate(part), minlength=len(distinct)) for part in parts)
         types = np.round(types)
         shorter = np.log(np.minimum(1.0, DISCOUNT * np.maximum(types, 1) / np.maximum(n - 1, 1)))
         totals = np.where((gain + single * shorter > GAIN) & (n >= SUPPORT), types, 0)
-    totals = totals.astype("<u4")
+    totals = totals.astype(TOTAL)
     out, at = [], 0
     for row, own in zip(rows, keys, strict=True):
         out.append((row["block"], number, row["bucket"], press(totals[inverse[at : at + len(own)]])))
@@ -424,7 +426,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     asked = map_batches(table, ask_all, REQUEST)
     replies = stage(asked.groupBy("bucket").applyInArrow(total_words, REPLY), "word-totals")
-    kinds = [unpress(bytes(r["totals"]), "<u4") for r in replies.filter("block = -1").select("totals").collect()]
+    kinds = [unpress(bytes(r["totals"]), TOTAL) for r in replies.filter("block = -1").select("totals").collect()]
     kinds = np.sum(kinds, axis=0) if kinds else np.zeros(3, dtype=int)
     corpus = Corpus(int(totals["tokens"] or 0), *map(int, kinds), int(totals["documents"] or 0))
     replies = replies.filter("block >= 0")
@@ -433,7 +435,7 @@ def score(docs: DataFrame) -> DataFrame:
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             got: dict[int, list] = {}
             for r in right.sort_by([("round", "ascending"), ("bucket", "ascending")]).to_pylist():
-                got.setdefault(r["round"], []).append(unpress(r["totals"], "<f8" if r["round"] in FLOATS else "<u4"))
+                got.setdefault(r["round"], []).append(unpress(r["totals"], KINDS.get(r["round"], TOTAL)))
             sums = {number: np.concatenate(parts).astype(float if number in FLOATS else np.int64) for number, parts in got.items()}
             # a block without places is through; a round in which a block had nothing to ask has no reply
             for number in done:
