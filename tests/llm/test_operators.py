@@ -353,6 +353,39 @@ def test_a_large_group_of_equal_texts_is_cut(spark):
     assert max(sizes.values()) < 1.02 * sum(sizes.values()) / 8
 
 
+def test_slots_of_a_hot_item_are_counted_over_its_parts(monkeypatch, spark):
+    """A third of the rows are equal, without an id; parts of 64 rows."""
+    from tierflow.llm import common, sharding
+
+    monkeypatch.setattr(common.ordered, "__defaults__", (64,))
+    rows = [(None, "copy of it", "a") if i % 3 == 0 else (i, f"text {i}", "b") for i in range(1500)]
+    slots, copies = defaultdict(list), Counter()
+    for r in sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, _item string"), bundles=4).collect():
+        slots[r["shard"]].append(r["slot"])
+        copies[r["shard"]] += r["doc_id"] is None
+    assert sum(map(len, slots.values())) == 1500 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sum(copies.values()) == 500 and len(copies) > 1
+
+
+def items_placed(items, shards, emphasis):
+    """The placing rule, item by item: the largest first, where the dot product with what is left is highest."""
+    total = [sum(i[c] for i in items) for c in range(3)]
+    weight = [[i[c] / (total[c] / shards) for c in range(3)] for i in items]
+    left, out = [[1.0] * 3 for _ in range(shards)], [None] * len(items)
+    for n in sorted(range(len(items)), key=lambda n: (-sum(weight[n]), n)):
+        fit = [sum(room[c] * weight[n][c] * emphasis[c] for c in range(3)) for room in left]
+        out[n] = fit.index(max(fit))
+        left[out[n]] = [room - w for room, w in zip(left[out[n]], weight[n])]
+    return out
+
+
+def test_items_are_placed_by_the_dot_product_with_what_is_left():
+    from tierflow.llm import sharding
+
+    items = np.random.default_rng(7).integers(1, 1000, size=(200, 3))
+    assert sharding.pack_vectors(items, 8, sharding.EMPHASIS).tolist() == items_placed(items.tolist(), 8, sharding.EMPHASIS)
+
+
 def test_neighbours(spark):
     from tierflow.llm import spann
 

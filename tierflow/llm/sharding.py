@@ -1,12 +1,13 @@
 """Sharding by vector bin packing: bytes, tokens and rows balanced together, equal texts kept together.
 
 Equal texts are a group. Groups are bundled by hash into a fixed number of items; a group that is a large
-share of a shard is its own item, and one too large to balance is cut by document into several. Items, a
+share of a shard is its own item, and one too large to balance is cut by row into several. Items, a
 bounded number, are placed largest first in the shard whose remaining capacity has the largest dot product
 with the item. The law is ``bytes``: the sizes of the shards come out nearly equal.
 
 Null text counts as empty. A null ``doc_id`` is kept and takes a slot like any other; repeated rows take
-one slot each, ties in any order between equal rows. An empty table gives an empty table.
+one slot each, ties in any order between equal rows. Texts, however long, are measured where they are read and not
+moved; other columns, whatever their names, are not read. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -14,9 +15,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import stage
+from .common import ordered, runs, stage
 
 # The law is bytes, so bytes count most where the quantities disagree.
 EMPHASIS = (16.0, 1.0, 1.0)
@@ -50,6 +50,7 @@ def shard(docs: DataFrame, shards: int = 8, bundles: int = 1 << 14, whole: float
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.regexp_count(text, F.lit(WORDS)).cast("long").alias("tokens"),
             F.xxhash64(text).alias("_group"),
+            F.monotonically_increasing_id().alias("_row"),
         ),
         "shard-rows",
     )
@@ -66,7 +67,7 @@ def shard(docs: DataFrame, shards: int = 8, bundles: int = 1 << 14, whole: float
     cut = docs.sparkSession.createDataFrame(table, "_group long, _first int, _pieces int")
     placed = rows.join(F.broadcast(cut), "_group", "left").withColumn(
         "_item",
-        F.when(F.col("_first").isNotNull(), F.col("_first") + F.pmod(F.xxhash64("doc_id"), F.col("_pieces")))
+        F.when(F.col("_first").isNotNull(), F.col("_first") + F.pmod(F.xxhash64("_row"), F.col("_pieces")))
         .otherwise(F.pmod(F.xxhash64("_group"), F.lit(bundles)))
         .cast("int"),
     )
@@ -78,9 +79,9 @@ def shard(docs: DataFrame, shards: int = 8, bundles: int = 1 << 14, whole: float
         spots.append((r["_item"], s, used[s]))
         used[s] += r["rows"]
     spot = docs.sparkSession.createDataFrame(spots, "_item int, shard int, _offset long")
-    order = Window.partitionBy("_item").orderBy("doc_id", "text_crc32", "size")
-    return (
-        placed.withColumn("_at", F.row_number().over(order))
-        .join(F.broadcast(spot), "_item")
-        .select("doc_id", "size", "text_crc32", "tokens", "shard", (F.col("_offset") + F.col("_at") - 1).alias("slot"))
-    )
+    # places in an item are counted over the parts of a sorted table, so a large item is not one task's
+    keys = ["_item", "doc_id", "text_crc32", "size", "_row"]
+    in_order = ordered(stage(placed.select(*keys, "tokens"), "shard-placed"), keys, "shard-ordered")
+    places = runs(in_order, ["_item"]).drop("_rows").join(F.broadcast(spot), "_item")
+    at = F.col("_offset") + F.col("_before") + F.col("_seq") - F.col("_first")
+    return in_order.join(places, ["_part", "_item"]).select("doc_id", "size", "text_crc32", "tokens", "shard", at.alias("slot"))
