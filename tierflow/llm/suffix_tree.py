@@ -11,7 +11,7 @@ The corpus is cut into blocks of about a million tokens, each coded by its own w
 by exchanging, between blocks and hash buckets, what a block holds and the totals it needs back: every
 distinct word and word sequence of a block crosses the network once each way, however often it occurs, so a
 frequent word costs a bucket one entry per block. Blocks lie in a table bucketed by block and are not shuffled
-again. Words are counted exactly; longer sequences by 64-bit hashes.
+again. Words are counted exactly and hashed once; longer sequences are counted by 64-bit hashes.
 
 Null text is empty: one end token. A null ``doc_id`` is learnt from. Rows are kept one for one; without
 training rows all scores are 0. Columns other than ``doc_id`` and ``text`` are not read.
@@ -42,7 +42,7 @@ SUPPORT = 4  # occurrences of a context, at least
 GAIN = 4.0  # summed divergence (natural logarithm) that retains a context
 DISCOUNT = 0.75  # of sequence counts
 
-BLOCK = "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, words binary, ids binary"
+BLOCK = "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, words binary, hashes binary, ids binary"
 REQUEST = "round int, bucket int, block long, keys binary, payload binary"
 REPLY = "block long, round int, bucket int, totals binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -97,11 +97,12 @@ def blocks(docs: DataFrame) -> DataFrame:
 
         def close():
             nonlocal number, known, ids, doc_ids, held, sizes, total
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in known), np.uint64, count=len(known))
             row = [
                 [(part << 32) + number], [doc_ids], [held], [sizes],
-                [zstandard.ZstdCompressor(level=3).compress(b"\n".join(known))], [press(np.concatenate(ids))],
+                [zstandard.ZstdCompressor(level=3).compress(b"\n".join(known))], [hashes.tobytes()], [press(np.concatenate(ids))],
             ]
-            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+            types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary())
             number += 1
             known, ids, doc_ids, held, sizes, total = {b"": 0}, [], [], [], [], 0
             return pa.record_batch([pa.array(v, t) for v, t in zip(row, types, strict=True)], names=[c.split()[0] for c in BLOCK.split(", ")])
@@ -151,14 +152,13 @@ class Block:
         self.number, self.corpus, self.totals = row["block"], corpus, totals
         self.doc_ids, self.held = row["doc_ids"], np.array(row["held"], dtype=bool)
         self.sizes = np.array(row["sizes"], dtype=np.int64)
-        self.words = zstandard.ZstdDecompressor().decompress(row["words"]).split(b"\n")
         self.ids = unpress(row["ids"], "<u4").astype(np.int64)
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.train = ~self.held[self.doc]
         starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
         self.first = np.zeros(len(self.ids), dtype=bool)
         self.first[starts] = True
-        self.hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], dtype=np.uint64)
+        self.hashes = np.frombuffer(row["hashes"], np.uint64)
 
     def word_order(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Local words by bucket, and where each bucket starts among them."""
@@ -169,7 +169,7 @@ class Block:
     def count(self, buckets: int) -> None:
         """Fill in totals per position: of the word, of contexts and of sequences."""
         order, _ = self.word_order(buckets)
-        per_word = np.zeros(len(self.words), dtype=np.int64)
+        per_word = np.zeros(len(self.hashes), dtype=np.int64)
         per_word[order] = self.totals[WORDS]
         self.c = per_word[self.ids]
         before = np.concatenate(([0], self.ids[:-1]))
@@ -227,12 +227,13 @@ class Block:
 
     # requests
 
-    def ask_words(self, buckets: int) -> list[tuple]:
+    def ask_words(self, packed: bytes, buckets: int) -> list[tuple]:
+        words = zstandard.ZstdDecompressor().decompress(packed).split(b"\n")
         order, at = self.word_order(buckets)
-        counts = np.bincount(self.ids[self.train], minlength=len(self.words)).astype("<u4")[order]
+        counts = np.bincount(self.ids[self.train], minlength=len(words)).astype("<u4")[order]
         compress = zstandard.ZstdCompressor(level=1).compress
         return [
-            (WORDS, b, self.number, compress(b"\n".join([self.words[i] for i in order[lo:hi]])), press(counts[lo:hi]))
+            (WORDS, b, self.number, compress(b"\n".join([words[i] for i in order[lo:hi]])), press(counts[lo:hi]))
             for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True))
             if hi > lo
         ]
@@ -420,7 +421,7 @@ def score(docs: DataFrame) -> DataFrame:
     def ask_all():
         def step(batch):
             for row in batch.to_pylist():
-                yield from _rows(Block(row, {}, None).ask_words(buckets), REQUEST, REQUEST_TYPES).to_batches()
+                yield from _rows(Block(row, {}, None).ask_words(row["words"], buckets), REQUEST, REQUEST_TYPES).to_batches()
 
         return step
 
@@ -430,6 +431,7 @@ def score(docs: DataFrame) -> DataFrame:
     kinds = np.sum(kinds, axis=0) if kinds else np.zeros(3, dtype=int)
     corpus = Corpus(int(totals["tokens"] or 0), *map(int, kinds), int(totals["documents"] or 0))
     replies = replies.filter("block >= 0")
+    coded = table.drop("words")  # from here on words are their hashes
 
     def each(make: Callable[[Block], list], schema: str, types: tuple, right: DataFrame, done: list[int], ready: Callable[[Block], None], columns: bool = False) -> DataFrame:
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -448,7 +450,7 @@ def score(docs: DataFrame) -> DataFrame:
             rows = [r for part in out for r in (zip(*part, strict=True) if columns else part)]
             return _rows(rows, schema, types)
 
-        return table.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, schema)
+        return coded.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, schema)
 
     def exchange(asked: DataFrame, label: str) -> DataFrame:
         return stage(asked.groupBy("round", "bucket").applyInArrow(total_keys, REPLY), label)
