@@ -52,9 +52,10 @@ def _quality_check(lake: Lake, rules: Sequence[quality.Rule], context: str, run_
     that the report counted is noted on the version."""
 
     def check(staged: DataFrame) -> dict[str, int]:
-        report = quality.evaluate(staged, rules, context, run_ts)
-        lines = quality.gate(quality.record(report, lake.name("dq_results")), context)
-        return {"rows": lines[0]["total_rows"]} if lines else {}
+        report = quality.record(quality.evaluate(staged, rules, context, run_ts), lake.name("dq_results"))
+        quality.gate(report, context)
+        line = report.first()
+        return {"rows": line["total_rows"]} if line else {}
 
     return check
 

@@ -68,7 +68,8 @@ def fold_exports(
 
     def check(stored: DataFrame) -> dict[str, int]:
         report = record(evaluate(stored, rules, "crm-silver", run_ts), lake.name("dq_results"))
-        return {"rows": gate(report, "crm-silver")[0]["total_rows"]}
+        gate(report, "crm-silver")
+        return {"rows": report.first()["total_rows"]}
 
     state_name, name = lake.name("customers_state"), lake.name("silver_customers")
     versions = staged.filter(F.col(CORRUPT).isNull() & F.col("customer_id").isNotNull()).select(*_COLUMNS)
