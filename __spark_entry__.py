@@ -309,7 +309,7 @@ def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
     thirds = F.pmod(F.xxhash64("session_id"), F.lit(3))
     for n in range(3):
         shapes.land_orders(changes.filter(F.col("seq") == n + 1), f"{root}/landing/orders")
-        shapes.land_clicks(events.filter(thirds <= n), f"{root}/landing/clicks")
+        shapes.land_clicks(events.filter(thirds <= n if n == 1 else thirds == n), f"{root}/landing/clicks")
         source = order_stream.order_changes(spark, f"{root}/landing/orders")
         order_stream.ingest_orders(source, orders[0], f"{root}/orders", f"{root}/check/orders", RUN_TS).awaitTermination()
         raw = click_stream.click_source(spark, f"{root}/landing/clicks")
