@@ -24,10 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .arrays import mix, odd, press, steps, unpress
-from .common import fresh, map_batches, ready, stage, text_bytes
+from .common import map_batches, ordered, ready, stage, text_bytes
 
 REGISTERS, BAND = 112, 4
 BASE = 1.02  # spacing of the levels
@@ -398,12 +397,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> Data
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
-    """One document of each component, that with the smallest doc_id, with its own columns; of rows that repeat
-    an id the first by text. Documents without an id stay."""
-    gone = stage(near_duplicates(docs, k, threshold).filter(~F.col("kept")).select("doc_id").distinct(), "copies")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each component, that with the smallest doc_id, with its own columns. Rows that repeat an id and
+    a text are one document; those that repeat an id with other texts are documents of their own, the first by text
+    the smallest. Documents without an id stay."""
     if not docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        return left
-    at = fresh(docs, "row")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    return left.withColumn(at, F.row_number().over(first)).filter((F.col(at) == 1) | F.col("doc_id").isNull()).drop(at)
+        gone = stage(near_duplicates(docs, k, threshold).filter(~F.col("kept")).select("doc_id").distinct(), "copies")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    once = stage(docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]), "documents-once")
+    # their places in the order of id and text stand for the ids
+    places = ordered(once.select("doc_id", "text"), ["doc_id", "text"], "documents-ordered").select("doc_id", "text", F.col("_seq").alias("at"))
+    nearest = near_duplicates(places.select(F.col("at").alias("doc_id"), "text"), k, threshold)
+    copies = nearest.filter(~F.col("kept")).select(F.col("doc_id").alias("at"))
+    gone = stage(places.join(copies, "at").select("doc_id", "text"), "copies")
+    left = once.join(gone, ["doc_id", "text"], "left_anti").select(*docs.columns)
+    return left.unionByName(docs.filter("doc_id IS NULL"))
