@@ -500,6 +500,136 @@ def test_random_keys_of_one_case_and_dashed_ones_are_found(spark):
     assert not any(t in r["text"] for r in secret_scan.redact(frame).collect() for t in [texts[i][4:-4] for i in range(60) if got[i]])
 
 
+def tested(value, letters):
+    """Encoding and p of one candidate, in plain Python."""
+    import math
+
+    body = value.rstrip("=")
+    plain = re.sub("[+/_-]", "", body)
+    has = {k: re.search(f"[{k}]", body) for k in ("0-9", "a-z", "A-Z", "2-7", "a-fA-F")}
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", plain) and has["0-9"] and has["a-fA-F"]:
+        code, alphabet, read, usual = "hex", "0123456789abcdef", plain.lower(), 0.11
+    elif re.fullmatch("[A-Z2-7]+", plain) and has["2-7"] and has["A-Z"]:
+        code, alphabet, read, usual = "base32", secret_scan.BASE32, plain, 0.065
+    elif not has["0-9"]:
+        code, alphabet, read, usual = "letters", secret_scan.LETTERS, plain.lower(), letters[0]
+    elif has["a-z"] and has["A-Z"]:
+        code, alphabet, read, usual = "base64", secret_scan.BASE64, body.translate(str.maketrans("-_", "+/")), 0.065
+    else:
+        code, alphabet, read, usual = "base36", secret_scan.BASE36, plain.lower(), 0.055
+    n, k, at = len(read), len(alphabet), [alphabet.index(c) for c in read]
+    squares, high, mean = sum(c * c for c in Counter(read).values()), sum(a >= k / 2 for a in at), sum(at) / n
+    runs = 1 + sum((a >= k / 2) != (b >= k / 2) for a, b in zip(at, at[1:], strict=False))
+    expected = 1 + 2 * high * (n - high) / n
+    spread = max(sum((a - mean) ** 2 for a in at), 1e-9)
+    z = (
+        (squares * k / n - n - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n),
+        (runs - expected) / math.sqrt(max((expected - 1) * (expected - 2) / (n - 1), 1e-9)),
+        (sum((a - mean) * (b - mean) for a, b in zip(at, at[1:], strict=False)) / spread + 1 / n) * math.sqrt(n),
+    )
+
+    def normal(z):
+        z = min(12.0, max(-12.0, z))
+        return 1 / (1 + math.exp(-(1.5976 * z + 0.07056 * z**3)))
+
+    if code == "letters":
+        kinds, rate = ["v" if c in "aeiou" else "c" for c in read], letters[1]
+    else:
+        text, rate = body if code == "base64" else plain, 0.2
+        kinds = ["0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else i for i, c in enumerate(text)]
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False))
+    agree = (squares - n) / (n * (n - 1))
+    a = normal((agree - usual) / math.sqrt(2 * usual * (1 - usual) / (n * (n - 1)) + 0.3 * usual * usual / n))
+    usual_changes, sd = rate * (n - 1), math.sqrt((n - 1) * rate * (1 - rate))
+    b = normal((changes - usual_changes) / sd if code == "letters" else (usual_changes - changes) / sd)
+    half = -math.log(a) - math.log(b)
+    return code, min(1.0, math.exp(-half) * (1 + half) * 40 / n) if max(map(abs, z)) <= 3.3 else 1.0
+
+
+def discoveries(texts):
+    """Ids and spans that plain Python adds to the base spans of ``texts``."""
+    import math
+
+    text = "\n".join(texts.values()).lower()
+    counts = Counter(c for c in text if c in secret_scan.LETTERS)
+    n = sum(counts.values())
+    kinds = ["v" if c in "aeiou" else "c" if c in secret_scan.LETTERS else " " for c in text]
+    pairs = [(a, b) for a, b in zip(kinds, kinds[1:], strict=False) if " " not in (a, b)]
+    known = secret_scan.KNOWN_LETTERS
+    letters = (
+        (0.065 * known + sum(c * c for c in counts.values()) / n) / (known + n),
+        (0.6 * known + sum(a != b for a, b in pairs)) / (known + len(pairs)),
+    )
+    found = [
+        (i, m.start(), m.end(), *tested(m[0], letters))
+        for i, t in texts.items()
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", t)
+        if re.search("[A-Za-z]", m[0]) and len(re.findall("[A-Za-z0-9]", m[0])) > 1
+    ]
+    out = set()
+    for code in {f[3] for f in found}:
+        bins = sorted((int(min(-math.log10(max(p, 1e-300)), 300) / 0.05) for *_, c, p in found if c == code), reverse=True)
+        good = [b for b in set(bins) if 10 ** (-b * 0.05) <= 0.01 * sum(x >= b for x in bins) / len(bins)]
+        for i, start, end, c, p in found:
+            taken = [tuple(map(int, s.split(":")[1:])) for s in spans_of(texts[i]).split(",") if s]
+            if good and c == code and p <= 10 ** (-min(good) * 0.05) and not any(s < end and start < e for s, e in taken):
+                out.add((i, f"random:{start}:{end}"))
+    return out
+
+
+def test_added_spans_equal_a_plain_battery(spark):
+    import random
+
+    rng = random.Random(8)
+    alphabets = (secret_scan.BASE64[:62], secret_scan.BASE64, secret_scan.BASE36, secret_scan.BASE32, "0123456789ABCDEF", secret_scan.LETTERS, secret_scan.BASE64[:52])
+    key = lambda a: "".join(rng.choice(a) for _ in range(rng.randrange(20, 90)))
+    word = lambda: "".join(rng.choice(("ver", "la", "ti", "on", "sch", "ge", "ment", "o", "ra")) for _ in range(rng.randrange(1, 14)))
+    texts = {}
+    for i in range(300):
+        parts = [word() for _ in range(rng.randrange(1, 30))]
+        for _ in range(rng.randrange(4)):
+            parts.append(rng.choice(("", "token=", "\u00e9 ", "x/")) + key(rng.choice(alphabets)) + rng.choice(("", "=", "-")))
+        rng.shuffle(parts)
+        texts[i] = rng.choice((" ", "\n", ", ")).join(parts)
+    texts[900], texts[901] = "-" * 40 + " " + "_" * 30 + "a " + "7" * 30, "a-" + "-" * 30 + "b"
+    want = discoveries(texts)
+    rows = secret_scan.report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = {(r["doc_id"], s) for r in rows for s in r["spans"].split(",") if s.startswith("random")}
+    assert got == want and len(want) > 100
+    # keys of letters alone are among them, long words are not
+    plain = {(i, s): texts[i][slice(*map(int, s.split(":")[1:]))] for i, s in want}
+    assert any(v.isalpha() and v.islower() for v in plain.values()) and any(v.isalpha() and not v.islower() for v in plain.values())
+
+
+def test_many_matches_in_one_text_are_not_compared_with_each_other(spark):
+    """Four times the matches of a text take about four times as long; spans and redaction are whole."""
+    import random
+    import time
+
+    rng = random.Random(3)
+    taken = {}
+    for n in (8000, 32000):
+        runs = ["%025x" % (rng.getrandbits(100) | 10 << 96) for _ in range(n)]
+        frame = spark.createDataFrame([(1, "\u00e9 ".join(runs))], "doc_id long, text string")
+        start = time.monotonic()
+        row, clean = secret_scan.report(frame).first(), secret_scan.redact(frame).first()["text"]
+        taken[n] = time.monotonic() - start
+        assert row["n_hex"] == n and row["spans"].split(",")[-1] == f"hex:{27 * (n - 1)}:{27 * (n - 1) + 25}"
+        assert clean == "\u00e9 ".join(["[secret]"] * n)
+    assert taken[32000] < 5 * taken[8000] + 5
+
+
+def test_documents_that_share_an_id_are_not_copies(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [
+        (1, " ".join(base)), (1, "quite another text that stands for itself alone"), (1, " ".join(base)),
+        (2, " ".join([*base, "more"])), (3, None), (3, ""), (3, "and a third text here with words of its own"), (None, " ".join(base)),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted(((r["doc_id"] or 0, r["text"] or "") for r in minhash.keep_one(frame).collect()))
+    assert left == sorted((i or 0, t or "") for n, (i, t) in enumerate(rows) if n not in (2, 3))
+
+
 def test_redaction(odd, spark):
     df = spark.createDataFrame([(1, "a token=abcdefgh b " + "0" * 30 + "!", 7, "kept"), (2, None, None, None)], "doc_id long, text string, n_chars long, secrets string")
     assert sorted(map(tuple, secret_scan.redact(df).collect())) == [(1, "a [secret] b [secret]!", 22, "kept"), (2, None, None, None)]
