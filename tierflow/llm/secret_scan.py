@@ -252,18 +252,22 @@ def ordinary_letters(docs: DataFrame) -> tuple[float, float]:
     # digits give way first: they stand for vowels and consonants then
     kinds = F.translate(F.translate(text, "01", "  "), LETTERS, marks)
     rows = docs.select(text.alias("text"), kinds.alias("kinds"))
-    size = F.octet_length("text")
-    counts = [F.sum(size - F.octet_length(F.replace("text", F.lit(c), F.lit("")))).alias(c) for c in LETTERS]
+    text, kinds = F.col("text"), F.col("kinds")
+
+    def times(value: Column, part: str) -> Column:
+        return (F.octet_length(value) - F.octet_length(F.replace(value, F.lit(part), F.lit("")))) / len(part)
+
+    counts = [F.sum(times(text, c)).alias(c) for c in LETTERS]
     found = rows.agg(
         *counts,
-        F.sum(F.regexp_count("kinds", F.lit("0(?=1)|1(?=0)"))).alias("changes"),
-        F.sum(F.regexp_count("kinds", F.lit("[01](?=[01])"))).alias("pairs"),
+        *(F.sum(times(kinds, pair)).alias(f"c{pair}") for pair in ("01", "10")),
+        F.sum(F.regexp_count("kinds", F.lit("[01]+"))).alias("runs"),
     ).first()
     n = float(sum(found[c] or 0 for c in LETTERS))
     agree = sum(((found[c] or 0) / n) ** 2 for c in LETTERS) if n else 0.0
     mixed = lambda known, seen, weight: (known * KNOWN_LETTERS + seen) / (KNOWN_LETTERS + weight)
-    pairs = float(found["pairs"] or 0)
-    return mixed(ORDINARY_LETTERS[0], agree * n, n), mixed(ORDINARY_LETTERS[1], float(found["changes"] or 0), pairs)
+    changes, pairs = sum(float(found[c] or 0) for c in ("c01", "c10")), n - float(found["runs"] or 0)
+    return mixed(ORDINARY_LETTERS[0], agree * n, n), mixed(ORDINARY_LETTERS[1], changes, pairs)
 
 
 def _candidates(text: Column, letters: tuple[float, float]) -> Column:
