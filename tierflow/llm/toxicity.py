@@ -9,8 +9,8 @@ neighbours are significantly more in toxic texts (so a passage that is copied ov
 Ordinary content stands in front of it too, so both dictionaries treat ordinary words alike.
 
 Dictionaries trained on whole windows of the labelled texts were tried and separate less: on the held-out rows of a
-table of 51,282 documents an area under the curve of 0.73 to 0.87, with 6 to 26 % of toxic rows caught where 2 % of
-others are taken, against 0.995 and 96 % at 0.3 % here. Most of a toxic text is ordinary, and what its windows save by
+table of 51,282 documents an area under the curve of 0.73 to 0.87, with 6 to 27 % of toxic rows caught where 2 % of
+others are taken (fitted on half of the labelled rows), against 0.995 and 96 % at 0.3 % here (on all). Most of a toxic text is ordinary, and what its windows save by
 chance outweighs what its few toxic words save.
 
 Learns from a bounded sample of labelled rows (``TOXIC_ROWS``, ``ORDINARY_ROWS``, by hash of the id) outside
