@@ -96,6 +96,64 @@ def test_near_duplicates_of_many_near_copies(spark):
     assert got == classes(dict(rows), 4)
 
 
+def template_pages(n):
+    """Pages of one template with two passages each, every passage on two pages: similarity 0.72 where they share one."""
+    words = lambda name, count: [f"{name}w{j}" for j in range(count)]
+    page = lambda i: [*words("t", 70), *words(f"p{i}", 16), *words(f"p{(i + 1) % n}", 16)]
+    return [(i, " ".join(page(i))) for i in range(n)]
+
+
+def test_pages_of_one_template_are_not_all_paired(monkeypatch, spark):
+    """Rows of the candidate tables grow with the pages, not with their square."""
+    rows, stage = {}, minhash.stage
+
+    def counting(df, label):
+        out = stage(df, label)
+        if label in ("meetings", "open", "likely"):
+            rows[label] = max(rows.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stage", counting)
+    seen = {}
+    for n in (150, 300):
+        rows.clear()
+        pages = template_pages(n)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(spark.createDataFrame(pages, "doc_id long, text string"), 4).collect()}
+        assert got == classes(dict(pages), 4)
+        seen[n] = dict(rows)
+    assert all(seen[300][label] <= 8 * 300 for label in seen[300]), seen
+    assert seen[300]["open"] <= 3 * max(seen[150]["open"], 150), seen
+
+
+def test_links_near_the_threshold_equal_brute_force(spark):
+    """Texts that share parts of one pool: many pairs a little below and above the threshold."""
+    rng = np.random.default_rng(3)
+    pool = [[f"b{b}w{j}" for j in range(20)] for b in range(12)]
+    rows = [(i, " ".join(w for b in sorted(rng.choice(12, rng.integers(8, 12), replace=False)) for w in pool[b])) for i in range(120)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == classes(dict(rows), 2)
+
+
+def test_rare_shingles_hold_a_shared_one_of_every_similar_pair(spark):
+    rng = np.random.default_rng(4)
+    base = [f"w{j}" for j in range(60)]
+    texts = {i: " ".join(w if rng.random() > 0.04 else f"x{rng.integers(40)}" for w in base) for i in range(60)}
+    df = spark.createDataFrame(list(texts.items()), "id long, text string")
+    rare = defaultdict(set)
+    for r in minhash.rare_shingles(df, 2, 0.8).collect():
+        rare[r["id"]].add(r["key"])
+    sets = {i: shingles(t, 2) for i, t in texts.items()}
+    pairs = 0
+    for a in texts:
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            if 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
+                pairs += 1
+                assert rare[a] & rare[b]
+        assert len(rare[a]) <= len(sets[a]) // 5 + 1
+    assert pairs > 50
+
+
 def test_near_duplicates_odd_rows(odd, empty):
     got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(odd, 4).collect())
     assert [g[1:4] for g in got if g[0]] == [(1, 4, 1), (1, 4, 1), (2, 4, 1), (3, 0, 3), (4, 0, 4), (5, 4, 5), (6, 0, 6)]

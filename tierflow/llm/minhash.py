@@ -6,11 +6,15 @@ merge by maximum. Nodes that agree on a band of registers share a bucket. Within
 centre, the node that shares most buckets with others, are proposed; then, once what is linked has been
 joined, pairs of nodes that are still in different components. For those it is first counted how many of a
 node's shingles any other such node has: a node can share no more than that, which rules out, without looking
-at pairs, nodes with too much of their own. So a group of thousands of near copies costs a star and not its
-square, and every pair that shares a bucket is verified, ruled out or already connected. Proposed pairs are
-weighed by the likelihood of their registers; the likely ones are verified on their full shingle sets.
-
-Null and empty texts have no shingles and stay alone. Documents without an id link to nothing and are kept.
+at pairs, nodes with too much of their own. Of the rest only nodes are paired that share one of the rarest fifth of
+each other's shingles, as every pair of that similarity does: pages of one template, alike but not enough, do not meet
+by the template. So a group of thousands of near copies costs a star and not its square, and every pair that shares
+a bucket is verified, ruled out or already connected. Proposed pairs are weighed by the likelihood of their
+registers; the likely ones are verified on their full shingle sets. What stays quadratic are nodes made of more than
+four fifths of shingles that many others of different components have too.
+
+Null and empty texts have no shingles and stay alone; a text is hashed whole, however long, one at a time; an empty
+table gives no rows. Documents without an id link to nothing and are kept.
 Rows that share a ``doc_id`` are one node of the graph, whatever their texts. Components are by the smallest
 doc_id. Other columns are not read.
 """
@@ -35,6 +39,8 @@ LEVELS = 65_000
 # than at their best; 16 is 5.6 standard deviations.
 LIKELY = 16.0
 WORDS_KEPT = 400_000
+# Shingles of one range of hashes, about, when shingles are counted.
+RANGE = 1 << 22
 # Components of fewer nodes are compared node by node; larger ones in pieces of about so many nodes.
 SMALL, PIECE = 32, 512
 
@@ -184,24 +190,24 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, thresh
     return map_batches(with_a.select("a", "b", F.col("text").alias("text_a"), "text_b"), make, "a long, b long").distinct()
 
 
-def shared_sizes(texts: DataFrame, k: int) -> DataFrame:
-    """``id, common`` of ``id, text``: how many of a document's shingles at least one other has too.
-
-    Shingles travel packed, for each batch of documents and each range of hashes, to the task of the range. A
-    shingle that all have is one entry per document there, like any other."""
+def packed_shingles(texts: DataFrame, k: int, shingles: int) -> DataFrame:
+    """Shingles of ``id, text``, packed for each batch of documents and each range of hashes. ``sizes``, the shingles of
+    each document, are in the first row of a batch. The ranges are as many as ``shingles``, about that of all
+    documents, need so that one has ``RANGE`` of them."""
     ready(texts.sparkSession)
-    ranges = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-shingles // RANGE))
 
     def make():
-        shingles = Shingles(k)
+        of = Shingles(k)
         edges = (np.arange(1, ranges, dtype=np.float64) * (2.0**64 / ranges)).astype(np.uint64)
 
         def step(batch):
             if not batch.num_rows:
                 return
-            found = [shingles(text.as_py()) for text in batch.column(1)]
+            found = [of(text.as_py()) for text in batch.column(1)]
+            sizes = np.array([len(f) for f in found], dtype="<u4")
             keys = np.concatenate(found)
-            owner = np.repeat(np.arange(len(found), dtype="<u2"), [len(f) for f in found])
+            owner = np.repeat(np.arange(len(found), dtype="<u2"), sizes)
             order = np.argsort(keys, kind="stable")
             keys, owner = keys[order], owner[order]
             at = np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
@@ -211,36 +217,94 @@ def shared_sizes(texts: DataFrame, k: int) -> DataFrame:
                 [
                     pa.array([b for b, _, _ in parts], pa.int32()),
                     pa.array([ids] * len(parts), pa.binary()),
+                    pa.array([press(sizes) if i == 0 else b"" for i in range(len(parts))], pa.binary()),
                     pa.array([press(owner[lo:hi]) for _, lo, hi in parts], pa.binary()),
                     pa.array([press(steps(keys[lo:hi])) for _, lo, hi in parts], pa.binary()),
                 ],
-                names=["range", "ids", "owners", "keys"],
+                names=["range", "ids", "sizes", "owners", "keys"],
             )
 
         return step
 
+    schema = "range int, ids binary, sizes binary, owners binary, keys binary"
+    return map_batches(texts.select("id", text_bytes().alias("text")), make, schema)
+
+
+def counted(table: pa.Table) -> tuple[list[dict], list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Of a range: its rows, and for each row owners, hashes and how many documents have each."""
+    rows = table.to_pylist()
+    owners = [unpress(r["owners"], "<u2") for r in rows]
+    keys = [np.cumsum(unpress(r["keys"], "<u8"), dtype=np.uint64) for r in rows]
+    _, inverse, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    return rows, owners, keys, np.split(n[inverse], np.cumsum([len(x) for x in keys])[:-1])
+
+
+def batch_keys(rows: list[dict]) -> pa.Array:
+    return pa.array([xxhash.xxh3_64_intdigest(r["ids"]) - (1 << 63) for r in rows], pa.int64())
+
+
+def shared_sizes(texts: DataFrame, k: int, shingles: int = 0) -> DataFrame:
+    """``id, common`` of ``id, text``: how many of a document's shingles at least one other has too.
+
+    A shingle that all have is one entry per document in the task of its range, like any other."""
+
     def count(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        owners = [unpress(r["owners"], "<u2") for r in rows]
-        keys = np.concatenate([np.cumsum(unpress(r["keys"], "<u8"), dtype=np.uint64) for r in rows])
-        _, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
-        common, at, sums = n[inverse] > 1, 0, []
-        for row, own in zip(rows, owners, strict=True):
-            sums.append(press(np.bincount(own[common[at : at + len(own)]], minlength=len(row["ids"]) // 8).astype("<u4")))
-            at += len(own)
-        batch = [xxhash.xxh3_64_intdigest(r["ids"]) - (1 << 63) for r in rows]
-        return pa.table({"batch": pa.array(batch, pa.int64()), "ids": pa.array([r["ids"] for r in rows], pa.binary()), "sums": pa.array(sums, pa.binary())})
+        rows, owners, _, n = counted(table)
+        sums = [press(np.bincount(own[of > 1], minlength=len(row["ids"]) // 8).astype("<u4")) for row, own, of in zip(rows, owners, n, strict=True)]
+        return pa.table({"batch": batch_keys(rows), "ids": pa.array([r["ids"] for r in rows], pa.binary()), "sums": pa.array(sums, pa.binary())})
 
     def add(table: pa.Table) -> pa.Table:
         ids = table.column("ids")[0].as_py()
         common = sum(unpress(x, "<u4").astype(np.int64) for x in table.column("sums").to_pylist())
         return pa.table({"id": pa.array(np.frombuffer(ids, dtype="<i8"), pa.int64()), "common": pa.array(common, pa.int64())})
 
-    packed = map_batches(texts.select("id", text_bytes().alias("text")), make, "range int, ids binary, owners binary, keys binary")
     # a row for each batch and range here, and one for each document only when they are summed
-    counted = packed.groupBy("range").applyInArrow(count, "batch long, ids binary, sums binary")
-    counted = counted.groupBy("batch").applyInArrow(add, "id long, common long")
-    return counted.groupBy("id").agg(F.max("common").alias("common"))
+    found = packed_shingles(texts, k, shingles).groupBy("range").applyInArrow(count, "batch long, ids binary, sums binary")
+    found = found.groupBy("batch").applyInArrow(add, "id long, common long")
+    return found.groupBy("id").agg(F.max("common").alias("common"))
+
+
+def rare_shingles(texts: DataFrame, k: int, threshold: float, shingles: int = 0) -> DataFrame:
+    """``id, key`` of ``id, text``: those of a document's rarest shingles that another has too.
+
+    All documents order their shingles alike, by how many have them and then by hash. Two that share the threshold of
+    their union share the threshold of either, so a shingle is in both when the first n - ceil(threshold * n) + 1 of
+    each are held against each other. What only one document has comes first in that order and meets nobody."""
+    percent = round(threshold * 100)
+
+    def count(table: pa.Table) -> pa.Table:
+        rows, owners, keys, n = counted(table)
+        several = [of > 1 for of in n]
+        packed = lambda values, kind=None: pa.array([press(v if kind is None else v.astype(kind)) for v in values], pa.binary())
+        return pa.table(
+            {
+                "batch": batch_keys(rows),
+                "ids": pa.array([r["ids"] for r in rows], pa.binary()),
+                "sizes": pa.array([r["sizes"] for r in rows], pa.binary()),
+                "owners": packed([x[m] for x, m in zip(owners, several, strict=True)]),
+                "keys": packed([steps(x[m]) for x, m in zip(keys, several, strict=True)]),
+                "n": packed([x[m] for x, m in zip(n, several, strict=True)], "<u8"),
+            }
+        )
+
+    def choose(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        ids = np.frombuffer(rows[0]["ids"], dtype="<i8")
+        sizes = next(unpress(r["sizes"], "<u4") for r in rows if r["sizes"]).astype(np.int64)
+        owner = np.concatenate([unpress(r["owners"], "<u2") for r in rows]).astype(np.int64)
+        keys = np.concatenate([np.cumsum(unpress(r["keys"], "<u8"), dtype=np.uint64) for r in rows])
+        n = np.concatenate([unpress(r["n"], "<u8") for r in rows])
+        order = np.lexsort((keys, n, owner))
+        owner, keys = owner[order], keys[order]
+        several = np.bincount(owner, minlength=len(ids))
+        first = sizes + (-percent * sizes) // 100 + 1  # n - ceil(threshold * n) + 1
+        place = np.arange(len(owner)) - (np.cumsum(several) - several)[owner]
+        take = place < (first - (sizes - several))[owner]
+        return pa.table({"id": pa.array(ids[owner[take]], pa.int64()), "key": pa.array(keys[take].view("<i8"), pa.int64())})
+
+    found = packed_shingles(texts, k, shingles)
+    found = found.groupBy("range").applyInArrow(count, "batch long, ids binary, sizes binary, owners binary, keys binary, n binary")
+    return found.groupBy("batch").applyInArrow(choose, "id long, key long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -263,9 +327,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def across(placed: DataFrame, tested: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
-    """Links between nodes of different components that share a bucket.
+    """Links between nodes of different components that share a key.
 
-    ``placed`` has ``band, id, n, component, common``. A node is held against each component it meets that is
+    ``placed`` has ``key, id, n, component, common``. A node is held against each component it meets that is
     larger than its own (ties: of smaller id): against single nodes of a small one, against all nodes of a
     large one at once, in pieces of bounded size. So the rows grow with nodes times components, not with the
     square of a group."""
@@ -278,14 +342,14 @@ def across(placed: DataFrame, tested: DataFrame, nodes: DataFrame, texts: DataFr
         "component-sizes",
     )
     ranked = placed.join(sizes.select("component", "size"), "component")
-    here = ranked.select("band", F.col("component").alias("target"), F.col("size").alias("target_size")).distinct()
-    here = stage(here.join(sizes.select(F.col("component").alias("target"), "low", "high", "most"), "target"), "bucket-components")
+    here = ranked.select("key", F.col("component").alias("target"), F.col("size").alias("target_size")).distinct()
+    here = stage(here.join(sizes.select(F.col("component").alias("target"), "low", "high", "most"), "target"), "key-components")
     before = (F.col("target_size") > F.col("size")) | ((F.col("target_size") == F.col("size")) & (F.col("target") < F.col("component")))
     # no member of the target could reach the threshold, by sizes and by what others have too
     fits = (F.col("n") >= threshold * F.col("low") - slack) & (F.col("high") >= threshold * F.col("n") - slack)
     can = most * F.least("common", "most") >= threshold * (F.col("n") + F.greatest("low", threshold * F.col("n"))) - slack
     ranked = stage(ranked, "ranked-members")
-    meets = ranked.join(here, "band").filter(before & fits & can).select("id", "n", "common", "target", "target_size").distinct()
+    meets = ranked.join(here, "key").filter(before & fits & can).select("id", "n", "common", "target", "target_size").distinct()
     meets = stage(meets, "meetings")
     small = meets.filter(F.col("target_size") < SMALL).join(
         of.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("target"), F.col("common").alias("common_b")),
@@ -378,8 +442,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8) -> Data
     texts = docs.select(F.col("doc_id").alias("id"), F.md5(text_bytes()).alias("md5"), "text").join(asked, ["id", "md5"], "left_semi")
     texts = stage(texts.select("id", "text"), "mixed-texts")
     # of n shingles of their own, a and b share at most what others have too
-    common = stage(shared_sizes(texts, k), "common")
-    placed = stage(placed.join(common, "id").filter(F.col("common") >= threshold * F.col("n") - 1e-6), "mixed-members")
+    shingled = lambda of: of.agg(F.sum("n")).first()[0] or 0
+    left = placed.select("id", "n", "component").distinct()
+    common = stage(shared_sizes(texts, k, shingled(left)), "common")
+    left = stage(left.join(common, "id").filter(F.col("common") >= threshold * F.col("n") - 1e-6), "open-nodes")
+    # and one of their rarest
+    texts = stage(texts.join(left.select("id"), "id", "left_semi"), "open-texts")
+    rare = stage(left.join(rare_shingles(texts, k, threshold, shingled(left)), "id"), "rare")
+    met = rare.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    placed = stage(rare.join(met, "key"), "rare-members")
     more = stage(across(placed, stars, nodes, texts, k, threshold), "links")
     if more.limit(1).count():
         labels = components(links.union(more))
