@@ -486,6 +486,18 @@ def test_neighbours_among_near_copies(spark):
         assert score[got[i]] == pytest.approx(np.sort(score)[:-6:-1], rel=0, abs=1e-15)
 
 
+def test_neighbours_of_doubles(spark):
+    """Numbers that a float cannot hold, or not apart."""
+    from tierflow.llm import spann
+
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 4e-9]), (2, [1.0, 2e-9]), (3, [1e39, 1e39]), (4, [1e300, -1e299]), (5, [0.0, 1e-200]), (6, [float("inf"), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r["rank"]: (r["vec_id"], r["score"]) for r in spann.nearest(df).collect()}
+    score = {1: 1.0, 2: 1.0, 3: 0.5**0.5, 4: 1 / 1.01**0.5, 5: 0.0}
+    assert [found[r][0] for r in sorted(found)] == [1, 2, 4, 3, 5]
+    assert all(found[r][1] == pytest.approx(score[found[r][0]], abs=1e-15) for r in found)
+
+
 def test_neighbours_over_hundreds_of_lists(monkeypatch, spark):
     from tierflow.llm import spann
 

@@ -11,7 +11,7 @@ less than double rounding are ties.
 
 Equal vectors are one entry, with its smallest ids; so a group of copies does not fill lists, and its members
 are found together. Vectors that are null, zero, or hold a null or a number that is not finite take no part,
-nor do those of another length than most. Ties go to the smaller id. A repeated row of the same id counts
+nor do those of another length than most. Floats are kept as they are, other numbers as doubles. Ties go to the smaller id. A repeated row of the same id counts
 once. Other columns are not read.
 """
 
@@ -129,7 +129,8 @@ def lists_of(vectors: DataFrame, centres: np.ndarray, ratio: float, least: int,
 
         return step
 
-    return map_batches(vectors.select("gid", "embedding"), make, "list int, gid long, embedding array<float>")
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    return map_batches(vectors.select("gid", "embedding"), make, f"list int, gid long, embedding {kind}")
 
 
 def brute_force(vectors: DataFrame, probes: list, k: int) -> DataFrame:
@@ -194,7 +195,9 @@ def nearest(table: DataFrame, every: int = 50, k: int = NEAREST) -> DataFrame:
     spark = table.sparkSession
     ready(spark)
     e = F.col("embedding")
-    usable = table.select("vec_id", e.cast("array<float>").alias("embedding")).filter(
+    # other numbers than floats keep their precision
+    kind = table.schema["embedding"].dataType.elementType.typeName()
+    usable = table.select("vec_id", (e if kind == "float" else e.cast("array<double>")).alias("embedding")).filter(
         F.col("vec_id").isNotNull()
         & e.isNotNull()
         & ~F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -204,6 +207,11 @@ def nearest(table: DataFrame, every: int = 50, k: int = NEAREST) -> DataFrame:
     if size is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     usable = usable.filter(F.size("embedding") == size["d"])
+    if kind != "float":
+        # by a power of two, which changes no cosine, so that squares neither overflow nor vanish
+        largest = F.array_max(F.transform(e, lambda v: F.abs(v)))
+        usable = usable.withColumn("largest", F.pow(F.lit(2.0), F.floor(F.log2(largest))))
+        usable = usable.select("vec_id", F.transform(e, lambda v: v / F.col("largest")).alias("embedding"))
     # two hashes of 64 and 32 bits name a vector; equal ones are one entry
     keyed = stage(usable.withColumns({"h": F.xxhash64("embedding"), "g": F.hash("embedding")}).dropDuplicates(["vec_id", "h", "g"]), "vectors")
     groups = stage(keyed.groupBy("h", "g").agg(F.min_by("embedding", "vec_id").alias("embedding"), F.min("vec_id").alias("gid")), "groups")
