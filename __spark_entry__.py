@@ -32,6 +32,7 @@ from tierflow.sources import catalog, readers, shapes
 from tierflow.streaming import clicks as click_stream
 from tierflow.streaming import crm as crm_stream
 from tierflow.streaming import orders as order_stream
+from tierflow.streaming import uniqueness
 
 AS_OF = date(2001, 8, 1)
 RUN_TS = datetime(2001, 8, 1, 2)
@@ -217,6 +218,21 @@ def stream_gated(spark: SparkSession, sf: str) -> DataFrame:
     return click_stream.balance(spark, _stream_clicks(spark, sf, deliveries=2))
 
 
+def unique_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The uniqueness rule over all clicks, counted in three deliveries by day of the month, compacted before the last."""
+    lake, root = _lake(spark), session.scratch(spark, "unique")
+    log, rule, clicks = lake.name("click_ids"), quality.Unique("event_id"), shapes.bronze_clicks(spark, sf)
+    uniqueness.create_counts(spark, log, root)
+    day = F.coalesce(F.substring("timestamp", 9, 2), F.lit(""))
+    for n, delivery in enumerate((day < "11", (day >= "11") & (day < "21"), day >= "21")):
+        clicks.filter(delivery).write.mode("append").parquet(f"{root}/landing")
+        source = spark.readStream.schema(clicks.schema).parquet(f"{root}/landing")
+        uniqueness.count_keys(source, rule, log, root, f"{root}/checkpoint").awaitTermination()
+        if n == 1:
+            uniqueness.compact_counts(spark, log, root)
+    return uniqueness.report(spark, log, rule)
+
+
 # ---------------------------------------------------------------- silver
 
 
@@ -395,6 +411,7 @@ _QUERIES: dict[str, Query] = {
     "stream_clickstream": stream_clickstream,
     "stream_clickstream_backlog": stream_clickstream_backlog,
     "stream_gated": stream_gated,
+    "unique_incremental": unique_incremental,
     # silver
     "dedup_latest": dedup_newest_order,
     "silver_orders": _orders,
@@ -744,6 +761,13 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'duplicate', 2 * count(*) - count(DISTINCT event_id) FROM bronze_clicks)",
             _SQL_CLICKS,
         ),
+        "unique_incremental": _with(
+            "SELECT 'unique' AS rule, 'event_id' AS \"column\", CASE WHEN f = 0 THEN 'Passed' ELSE 'Failed' END AS outcome, "
+            "CAST(f AS BIGINT) AS failing_rows, CAST(n AS BIGINT) AS total_rows FROM (SELECT sum(copies) AS n, "
+            "coalesce(sum(copies) FILTER (WHERE copies > 1 AND event_id IS NOT NULL), 0) AS f "
+            "FROM (SELECT event_id, count(*) AS copies FROM bronze_clicks GROUP BY event_id))",
+            _SQL_CLICKS,
+        ),
         "dedup_latest": _with(
             "SELECT * FROM bronze_orders QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, "
             "order_id DESC, total_amount DESC, status DESC, seq DESC, op DESC) = 1",

@@ -160,7 +160,18 @@ def evaluate(
             repeated = F.col("key").isNotNull() & (F.col("n") > 1)
             counted = copies.agg(F.sum("n").alias("total"), F.sum(F.when(repeated, F.col("n"))).alias("f"))
             parts.append(counted.select(_lines([rule], [F.col("f")], F.col("total"))))
-    report = reduce(DataFrame.unionAll, parts).select(
+    return _told(reduce(DataFrame.unionAll, parts), context, run_ts)
+
+
+def unique_report(
+    figures: DataFrame, rule: Unique, context: str | None = None, run_ts: datetime | None = None
+) -> DataFrame:
+    """The report line of a uniqueness rule from one row of figures known already: ``f`` failing rows of ``total``."""
+    return _told(figures.select(_lines([rule], [F.col("f")], F.col("total"))), context, run_ts)
+
+
+def _told(lines: DataFrame, context: str | None, run_ts: datetime | None) -> DataFrame:
+    report = lines.select(
         "rule",
         "column",
         F.when(F.col("failing_rows") == 0, "Passed").otherwise("Failed").alias("outcome"),
