@@ -87,12 +87,20 @@ def unpress_columns(data: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
 # ---------------------------------------------------------------- blocks
 
 
+class Numbers(dict):
+    """Numbers of words in the order they first come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 def blocks(docs: DataFrame) -> DataFrame:
     """Rows of ``BLOCK``: token ids of some documents and the words they stand for; word 0, empty, is the end."""
 
     def make():
         part, number = TaskContext.get().partitionId(), 0
-        known: dict[bytes, int] = {b"": 0}
+        known = Numbers({b"": 0})
         ids, doc_ids, held, sizes, total = [], [], [], [], 0
 
         def close():
@@ -104,7 +112,7 @@ def blocks(docs: DataFrame) -> DataFrame:
             ]
             types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary())
             number += 1
-            known, ids, doc_ids, held, sizes, total = {b"": 0}, [], [], [], [], 0
+            known, ids, doc_ids, held, sizes, total = Numbers({b"": 0}), [], [], [], [], 0
             return pa.record_batch([pa.array(v, t) for v, t in zip(row, types, strict=True)], names=[c.split()[0] for c in BLOCK.split(", ")])
 
         def step(batch):
@@ -115,10 +123,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                 return
             for doc, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 found = text.as_py().lower().split()  # of bytes: A-Z only, and ASCII white space
-                for word in found:
-                    if word not in known:
-                        known[word] = len(known)
-                ids.append(np.array([known[w] for w in found] + [0], dtype="<u4"))
+                ids.append(np.array([*map(known.__getitem__, found), 0], dtype="<u4"))
                 doc_ids.append(doc), held.append(out), sizes.append(len(found) + 1)
                 total += len(found) + 1
                 if total >= BLOCK_TOKENS:
@@ -145,6 +150,18 @@ class Corpus:
         return min(0.95, max(0.05, self.once / (self.once + 2 * self.twice))) if self.once else 0.5
 
 
+# Distinct keys, ascending, and for each place the number of its key among them.
+Keys = tuple[np.ndarray, np.ndarray]
+
+
+def some(distinct: np.ndarray, number: np.ndarray, asked: np.ndarray) -> Keys:
+    """The keys of the places that are ``asked``, numbered anew without sorting them again."""
+    number = number[asked]
+    used = np.zeros(len(distinct), dtype=bool)
+    used[number] = True
+    return distinct[used], (np.cumsum(used) - 1)[number]
+
+
 class Block:
     """A block's tokens with the totals received so far, by round."""
 
@@ -174,39 +191,45 @@ class Block:
         self.c = per_word[self.ids]
         before = np.concatenate(([0], self.ids[:-1]))
         symbol = self.hashes[self.ids]
-        context = np.where(self.first, _START, np.concatenate(([_START], symbol[:-1])))
-        self.key_one = mix(context * _FACTORS[0])
-        self.key_pair = mix(self.key_one + symbol * _FACTORS[1])
+        # contexts of one word are numbered by the word, the place before the first as one more; only words are sorted
+        key_word = mix(np.append(self.hashes, _START) * _FACTORS[0])
+        context = np.where(self.first, len(self.hashes), before)
+        self.key_pair = mix(key_word[context] + symbol * _FACTORS[1])
         self.n_one = np.where(self.first, self.corpus.documents, per_word[before])
         # asking also says what is here: what training has once is asked for too, for held-out texts that have it
         self.ask_pair = (self.n_one >= SUPPORT) & (self.c >= 1)
+        distinct, number = np.unique(self.key_pair, return_inverse=True)
+        self.asked_pair = some(distinct, number, self.ask_pair)
         if PAIRS not in self.totals:
             return
-        self.n_pair = self._spread(PAIRS, self.key_pair, self.ask_pair)
-        self.ask_one = self.train & (self.n_one >= SUPPORT)
+        self.n_pair = self._spread(PAIRS, self.asked_pair, self.ask_pair)
+        self.ask_one = self.n_one >= SUPPORT
+        distinct_one, number_one = np.unique(key_word, return_inverse=True)
+        self.asked_one = some(distinct_one, number_one[context], self.ask_one)
         # the context of two words is the pair that ends one place before
-        self.key_two = np.concatenate(([np.uint64(0)], self.key_pair[:-1]))
+        key_two = np.concatenate(([np.uint64(0)], self.key_pair[:-1]))
         self.n_two = np.where(self.first, 0, np.concatenate(([0], self.n_pair[:-1])))
-        self.key_triple = mix(self.key_two * _FACTORS[0] + symbol * _FACTORS[1] + np.uint64(1))
-        self.ask_triple = (self.n_two >= SUPPORT) & (self.n_pair >= 1)
+        self.ask_two = self.n_two >= SUPPORT  # not at the first place, so every one is a pair
+        self.asked_two = some(distinct, np.concatenate(([0], number[:-1])), self.ask_two)
+        self.ask_triple = self.ask_two & (self.n_pair >= 1)
+        key_triple = mix(key_two[self.ask_triple] * _FACTORS[0] + symbol[self.ask_triple] * _FACTORS[1] + np.uint64(1))
+        self.asked_triple = np.unique(key_triple, return_inverse=True)
         if ONE in self.totals:
-            self.types_one = self._contexts(ONE, self.key_one, self.n_one >= SUPPORT)
-            self.n_triple = self._spread(TRIPLES, self.key_triple, self.ask_triple)
+            self.types_one = self._contexts(ONE, self.asked_one, self.ask_one)
+            self.n_triple = self._spread(TRIPLES, self.asked_triple, self.ask_triple)
             if TWO in self.totals:
-                self.types_two = self._contexts(TWO, self.key_two, self.n_two >= SUPPORT)
+                self.types_two = self._contexts(TWO, self.asked_two, self.ask_two)
 
-    def _spread(self, number: int, keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    def _spread(self, number: int, keys: Keys, asked: np.ndarray) -> np.ndarray:
         """Totals of sequences per position; those not asked for do not occur, or follow too rare a context."""
         out = self.train.astype(np.int64)
-        _, inverse = np.unique(keys[asked], return_inverse=True)
-        out[asked] = self.totals[number][inverse]
+        out[asked] = self.totals[number][keys[1]]
         return out
 
-    def _contexts(self, number: int, keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    def _contexts(self, number: int, keys: Keys, asked: np.ndarray) -> np.ndarray:
         """Distinct next words of each position's context where it is retained, else 0."""
-        out = np.zeros(len(keys), dtype=np.int64)
-        _, inverse = np.unique(keys[asked], return_inverse=True)
-        out[asked] = self.totals[number][inverse]
+        out = np.zeros(len(asked), dtype=np.int64)
+        out[asked] = self.totals[number][keys[1]]
         return out
 
     def chance_word(self) -> np.ndarray:
@@ -238,9 +261,9 @@ class Block:
             if hi > lo
         ]
 
-    def _ask(self, number: int, keys: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray | None]], buckets: int) -> list[tuple]:
+    def _ask(self, number: int, keys: Keys, parts: list[tuple[np.ndarray, np.ndarray | None]], buckets: int) -> list[tuple]:
         """Distinct keys by bucket with the sums of ``parts``: (which positions count, their values)."""
-        distinct, inverse = np.unique(keys, return_inverse=True)
+        distinct, inverse = keys
         sums = [np.bincount(inverse[which], None if value is None else value[which], minlength=len(distinct)) for which, value in parts]
         columns = [x.astype(kind) for x, kind in zip(sums, ("<u4",) if len(parts) == 1 else CONTEXT, strict=True)]
         edges = (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(np.uint64)
@@ -252,19 +275,19 @@ class Block:
         ]
 
     def ask_sequences(self, number: int, buckets: int) -> list[tuple]:
-        keys, asked = (self.key_pair, self.ask_pair) if number == PAIRS else (self.key_triple, self.ask_triple)
-        return self._ask(number, keys[asked], [(self.train[asked], None)], buckets)
+        keys, asked = (self.asked_pair, self.ask_pair) if number == PAIRS else (self.asked_triple, self.ask_triple)
+        return self._ask(number, keys, [(self.train[asked], None)], buckets)
 
     def ask_contexts(self, number: int, buckets: int) -> list[tuple]:
         """Per context: summed divergence of what it has seen twice or more, distinct next words, what it has seen
         once, and its own count (divided over its training occurrences)."""
         if number == ONE:
-            keys, asked, n, context, shorter = self.key_one, self.n_one >= SUPPORT, self.n_pair, self.n_one, self.chance_word()
+            keys, asked, n, context, shorter = self.asked_one, self.ask_one, self.n_pair, self.n_one, self.chance_word()
         else:
-            keys, asked, n, context, shorter = self.key_two, self.n_two >= SUPPORT, self.n_triple, self.n_two, self.chance_one()
-        return self._ask_test(number, keys[asked], self.train[asked], n[asked], context[asked], shorter[asked], buckets)
+            keys, asked, n, context, shorter = self.asked_two, self.ask_two, self.n_triple, self.n_two, self.chance_one()
+        return self._ask_test(number, keys, self.train[asked], n[asked], context[asked], shorter[asked], buckets)
 
-    def _ask_test(self, number: int, keys, train, n, context, shorter, buckets: int) -> list[tuple]:
+    def _ask_test(self, number: int, keys: Keys, train, n, context, shorter, buckets: int) -> list[tuple]:
         context = context.astype(float)
         seen = train & (n >= 1)
         without = np.maximum(n - 1 - DISCOUNT, 1e-3) / np.maximum(context - 1, 1)
@@ -291,26 +314,27 @@ class Block:
         for back in range(1, depth + 1):
             symbol = np.where(offset == back - 1, _START, self.hashes[self.ids[self.at - back]])
             key = mix(key * _FACTORS[0] + symbol * _FACTORS[1])
-        self.key_context = key
-        self.key_next = mix(key * _FACTORS[0] + self.hashes[self.ids[self.at]] * _FACTORS[1] + np.uint64(1))
+        self.asked_context = np.unique(key, return_inverse=True)
+        self.asked_next = np.unique(mix(key * _FACTORS[0] + self.hashes[self.ids[self.at]] * _FACTORS[1] + np.uint64(1)), return_inverse=True)
         contexts, sequences, test = deeper(depth)
         if contexts in self.totals:
             everywhere = np.ones(len(self.at), dtype=bool)
-            self.n_context = self._contexts(contexts, self.key_context, everywhere)
-            self.n_next = self._contexts(sequences, self.key_next, everywhere)
+            self.n_context = self._contexts(contexts, self.asked_context, everywhere)
+            self.n_next = self._contexts(sequences, self.asked_next, everywhere)
             self.supported = self.n_context >= SUPPORT
+            self.asked_test = some(*self.asked_context, self.supported)
             if test in self.totals:
-                self.types = self._contexts(test, self.key_context, self.supported)
+                self.types = self._contexts(test, self.asked_test, self.supported)
 
     def ask_longer(self, depth: int, buckets: int) -> list[tuple]:
         contexts, sequences, _ = deeper(depth)
         parts = [(self.train[self.at], None)]
-        return self._ask(contexts, self.key_context, parts, buckets) + self._ask(sequences, self.key_next, parts, buckets)
+        return self._ask(contexts, self.asked_context, parts, buckets) + self._ask(sequences, self.asked_next, parts, buckets)
 
     def ask_test(self, depth: int, buckets: int) -> list[tuple]:
         ok = self.supported
         n, context, train = self.n_next[ok], self.n_context[ok], self.train[self.at][ok]
-        return self._ask_test(deeper(depth)[2], self.key_context[ok], train, n, context, self.chance[ok], buckets)
+        return self._ask_test(deeper(depth)[2], self.asked_test, train, n, context, self.chance[ok], buckets)
 
     def _hand_on(self, retained: np.ndarray, at: np.ndarray, chance: np.ndarray) -> list[tuple]:
         if not retained.any():
@@ -405,12 +429,17 @@ def total_keys(table: pa.Table) -> pa.Table:
 
 def score(docs: DataFrame) -> DataFrame:
     """Rows of ``SCORES``, one for each of ``docs``."""
+    with session.freed_shuffles(docs.sparkSession):
+        return _score(docs)
+
+
+def _score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ready(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"blocks_{uuid.uuid4().hex}"
     (
-        blocks(docs).repartition(buckets, "block").write.bucketBy(buckets, "block").sortBy("block")
+        blocks(docs).write.bucketBy(buckets, "block").sortBy("block")
         .option("path", session.scratch(spark, "blocks")).saveAsTable(name)
     )
     table = spark.table(name)

@@ -88,3 +88,18 @@ def sized_shuffles(
         yield wanted
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of each query when it ends, not when the driver happens to collect its garbage: for
+    jobs of many rounds, of which each is written."""
+    before = spark.conf.get(FREED, "false")
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREED, before)
