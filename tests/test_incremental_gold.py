@@ -225,3 +225,23 @@ def test_sets_of_a_hot_customer_are_rows(gold, spark):
     both = partials.withColumn("number", F.lit(1)).unionByName(again.withColumn("number", F.lit(2)))
     (row,) = incremental.features(both).collect()
     assert (row["total_clicks"], row["total_sessions"], row["active_days"], row["frequency"]) == (6100, 3000, 50, None)
+
+
+def test_the_state_is_merged_by_hashing_and_changed_months_are_looked_up_once(gold, monkeypatch):
+    gold.deliver(**FIRST)
+    gold.check()
+    state = incremental._state(gold.spark, gold.lake)
+    plan = incremental.merged(state)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    given, real = [], incremental.order_partials
+
+    def watched(orders, pairs=None):
+        given.append(pairs._jdf.queryExecution().executedPlan().toString())
+        return real(orders, pairs)
+
+    monkeypatch.setattr(incremental, "order_partials", watched)
+    gold.deliver(**SECOND)
+    gold.check()
+    assert len(given) == 1 and "Exchange" not in given[0] and "Join" not in given[0]
+    deleted = state.sparkSession.table(gold.lake.name("gold_state")).filter("customer_id = 'b' AND part = 'month' AND number = 2")
+    assert rows(deleted, "value", "orders", "amount", "returned") == [("2024-02", 0, None, None)]

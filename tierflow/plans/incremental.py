@@ -100,7 +100,7 @@ def click_partials(clicks: DataFrame) -> DataFrame:
 def order_partials(orders: DataFrame, pairs: DataFrame | None = None, returned: str = "RETURNED") -> DataFrame:
     """Orders per customer and month, of the ``pairs`` if given, which have a row each even without orders."""
     if pairs is not None:
-        orders = orders.join(pairs, list(_PAIR), "left_semi")
+        orders = pairs.join(orders, list(_PAIR), "left")
     sums = orders.groupBy(*_PAIR).agg(
         F.count("order_id").alias("orders"),
         F.sum("total_amount").alias("amount"),
@@ -109,18 +109,21 @@ def order_partials(orders: DataFrame, pairs: DataFrame | None = None, returned:
         F.count_if((F.col("status") == returned) & F.col("order_id").isNotNull()).alias("returned"),
     )
     if pairs is not None:
-        sums = pairs.join(sums, list(_PAIR), "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+        sums = sums.withColumn("returned", F.when(F.col("orders") > 0, F.col("returned")))
     month = F.format_string("%04d-%02d", "order_year", "order_month")
     return sums.select(_row("month", month, **{c: F.col(c) for c in ("orders", "amount", "first_order", "last_order", "returned")}))
 
 
 def merged(state: DataFrame) -> DataFrame:
-    """The state with one row per customer, part and value: clicks added up, orders of the newest run."""
+    """The state with one row per customer, part and value: clicks added up, orders of the newest run.
+
+    A run has one row of a customer's month at most, so the newest figures are taken one by one: they are then of
+    fixed size and rows are hashed, where a struct of them would have the whole state sorted."""
     figures = ("orders", "amount", "first_order", "last_order", "returned")
     found = state.groupBy("customer_id", "part", "value").agg(
-        F.max("number").alias("number"), F.sum("clicks").alias("clicks"), F.max_by(F.struct(*figures), "number").alias("newest")
+        F.max("number").alias("number"), F.sum("clicks").alias("clicks"), *(F.max_by(c, "number").alias(c) for c in figures)
     )
-    return found.select(*(F.col(f"newest.{c}") if c in figures else F.col(c) for c in _COLUMNS))
+    return found.select(*_COLUMNS)
 
 
 def features(state: DataFrame) -> DataFrame:
@@ -154,9 +157,9 @@ def _touched_pairs(spark: SparkSession, table: str, view: str, names: Sequence[s
     return versions.join(changed, "order_id", "left_semi").filter("customer_id IS NOT NULL").select(*_PAIR).distinct()
 
 
-def _new_partials(spark: SparkSession, lake: Lake, orders: tuple[str, str], clicks: str) -> DataFrame | None:
+def _new_partials(spark: SparkSession, lake: Lake, root: str, orders: tuple[str, str], clicks: str) -> DataFrame | None:
     """Partial aggregates of the batches the state does not have, with a row per batch; of everything for an empty
-    state. None where nothing is new."""
+    state. None where nothing is new. Customers and months of changed orders are looked up once and stored."""
     (table, view), logged = orders, [f"{orders[0]}_log", f"{clicks}_log"]
     first = _last_run(spark, lake) == 0
     names = {log: sorted(set(logs.batches(spark, log)) - set(taken(spark, lake, log))) for log in logged}
@@ -169,7 +172,10 @@ def _new_partials(spark: SparkSession, lake: Lake, orders: tuple[str, str], clic
         partials = partials.unionAll(order_partials(live)).unionAll(click_partials(shown_clicks(spark, clicks, names[logged[1]])))
         return partials
     if names[logged[0]]:
-        pairs = _touched_pairs(spark, table, view, names[logged[0]])
+        path = logs.folder(root, "pairs")
+        found = _touched_pairs(spark, table, view, names[logged[0]])
+        found.write.parquet(path)
+        pairs = spark.read.schema(found.schema).parquet(path)
         months = [tuple(r) for r in pairs.select(*_PAIR[1:]).distinct().collect()]  # as many as the table has partitions
         within = F.struct(*_PAIR[1:]).isin(*(F.struct(*(F.lit(v) for v in m)) for m in months)) if months else F.lit(False)
         partials = partials.unionAll(order_partials(live.filter(within), pairs))
@@ -195,7 +201,7 @@ def run_gold_incremental(
     create_gold_state(spark, lake, root)
     log, name = _log(lake), lake.name("customer_features")
     sources = (lake.name(orders[0]), lake.name(orders[1])), lake.name(clicks)
-    partials = _new_partials(spark, lake, *sources)
+    partials = _new_partials(spark, lake, root, *sources)
     if partials is not None:
         number = _last_run(spark, lake) + 1
         path = logs.folder(root, f"gold-{number:09d}")
