@@ -777,3 +777,41 @@ def test_some_keys_are_numbered_as_if_sorted_anew():
         keys, asked = rng.integers(0, 90, n).astype(np.uint64), rng.random(n) < 0.4
         got = suffix_tree.some(*np.unique(keys, return_inverse=True), asked)
         assert all(np.array_equal(a, b) for a, b in zip(got, np.unique(keys[asked], return_inverse=True), strict=True))
+
+
+def test_keys_are_numbered_as_numpy_does():
+    """Also keys that differ in the bits only that hold places while they are sorted."""
+    rng = np.random.default_rng(4)
+    high = rng.integers(0, 2**64, 200, dtype=np.uint64)
+    for keys in (high[:0], high[:1], high[rng.integers(0, 200, 1000)], np.array([9, 8, 9, 10, 8, 2**64 - 1], dtype=np.uint64)):
+        assert all(np.array_equal(a, b) for a, b in zip(suffix_tree.numbered(keys), np.unique(keys, return_inverse=True), strict=True))
+
+
+def test_arrays_come_back_as_they_were_pressed():
+    from tierflow.llm.arrays import press, unpress
+
+    for kind in ("<u4", "<u8", "<f4", "<f8", "u1"):
+        for values in ([], [0, 0], [0, 1, 255], [3, 200, 7]):
+            values = np.array(values, dtype=kind)
+            assert np.array_equal(unpress(press(values), kind), values)
+    large = np.array([0, 2**32 - 1, 2**40, 2**64 - 1], dtype="<u8")
+    assert np.array_equal(unpress(press(large), "<u8"), large)
+
+
+def test_counted_contexts_are_not_asked_for_again(monkeypatch, spark):
+    """Contexts of three words have the totals of triples, of which the rare are not handed on; what is left of the
+    blocks goes to one file."""
+    from tierflow.llm.arrays import unpress
+
+    seen, real = defaultdict(list), suffix_tree.stage
+
+    def watched(df, label):
+        seen[label].append(real(df, label))
+        return seen[label][-1]
+
+    monkeypatch.setattr(suffix_tree, "stage", watched)
+    run(spark, "op4_suffix_tree")
+    assert {r["round"] for r in seen["longer-totals"][0].collect()} == {suffix_tree.deeper(3)[1]}
+    handed = [unpress(r["payload"], "<u8") for r in seen["states"][0].filter(f"round = {suffix_tree.BEFORE}").collect()]
+    assert handed and all((before > suffix_tree.SUPPORT).all() for before in handed)
+    assert len(seen["states"]) > 1 and all(len(df.inputFiles()) == 1 for df in seen["states"][1:])

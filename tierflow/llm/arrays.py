@@ -21,14 +21,25 @@ def odd(n: int, seed: int) -> np.ndarray:
 
 def press(values: np.ndarray) -> bytes:
     """Compressed array: bytes of equal weight side by side."""
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    values = np.ascontiguousarray(values)
+    if not len(values):
+        return zstandard.ZstdCompressor(level=1).compress(b"")
+    planes = values.view(np.uint8).reshape(len(values), -1).T
+    used = len(planes)
+    if values.dtype.kind == "u" and values.ndim == 1:  # bytes that are zero throughout need not be gathered
+        used = -(-int(values.max()).bit_length() // 8)
+    return zstandard.ZstdCompressor(level=1).compress(planes[:used].tobytes() + bytes((len(planes) - used) * len(values)))
 
 
 def unpress(data: bytes, kind: str) -> np.ndarray:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel() if len(raw) else np.empty(0, kind)
+    planes = raw.reshape(np.dtype(kind).itemsize, -1)
+    out = np.zeros(planes.shape[1], dtype=kind)
+    places = out.view(np.uint8).reshape(-1, len(planes))
+    for k, plane in enumerate(planes):
+        if plane.any():
+            places[:, k] = plane
+    return out
 
 
 def steps(keys: np.ndarray) -> np.ndarray:

@@ -11,7 +11,9 @@ The corpus is cut into blocks of about a million tokens, each coded by its own w
 by exchanging, between blocks and hash buckets, what a block holds and the totals it needs back: every
 distinct word and word sequence of a block crosses the network once each way, however often it occurs, so a
 frequent word costs a bucket one entry per block. Blocks lie in a table bucketed by block and are not shuffled
-again. Words are counted exactly and hashed once; longer sequences are counted by 64-bit hashes.
+again. Words are counted exactly and hashed once; longer sequences are counted by 64-bit hashes. From three words
+on a block says at once which places are left and what it asks of them; a context has the total of the sequence
+that ends one place before, and is asked for only where that was not counted.
 
 Null text is empty: one end token. A null ``doc_id`` is learnt from. Rows are kept one for one; without
 training rows all scores are 0. Columns other than ``doc_id`` and ``text`` are not read.
@@ -49,10 +51,12 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 # Rounds: totals of words, of pairs, of contexts of one word, of triples, of contexts of two words.
 WORDS, PAIRS, ONE, TRIPLES, TWO = range(5)
 # From three words on, per length: totals of contexts, of sequences, of contexts again with what the test needs.
-# What a block hands on: places and chances of its tokens in the longest contexts, and figures of its documents.
-PLACES, CHANCE, KNOWN, BASE, MODEL = range(-5, 0)
+# What a block hands on: of its tokens in the longest contexts the steps between places, chances, and one more than
+# the total of the context one word longer or 0 where it is not known; steps between places where that context is
+# known to be too rare; figures of its documents.
+RARE, PLACES, CHANCE, BEFORE, KNOWN, BASE, MODEL = range(-7, 0)
 FLOATS = (CHANCE, BASE, MODEL)
-KINDS = {PLACES: "<u4", KNOWN: "<u4"} | dict.fromkeys(FLOATS, "<f8")
+KINDS = {RARE: "<u4", PLACES: "<u4", KNOWN: "<u4"} | dict.fromkeys(FLOATS, "<f8")
 TOTAL = "<u8"  # of the whole corpus; the bytes that are zero take no room
 
 
@@ -123,9 +127,10 @@ def blocks(docs: DataFrame) -> DataFrame:
                 return
             for doc, out, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 found = text.as_py().lower().split()  # of bytes: A-Z only, and ASCII white space
-                ids.append(np.array([*map(known.__getitem__, found), 0], dtype="<u4"))
-                doc_ids.append(doc), held.append(out), sizes.append(len(found) + 1)
-                total += len(found) + 1
+                found.append(b"")
+                ids.append(np.fromiter(map(known.__getitem__, found), "<u4", count=len(found)))
+                doc_ids.append(doc), held.append(out), sizes.append(len(found))
+                total += len(found)
                 if total >= BLOCK_TOKENS:
                     yield close()
 
@@ -154,6 +159,23 @@ class Corpus:
 Keys = tuple[np.ndarray, np.ndarray]
 
 
+def numbered(keys: np.ndarray) -> Keys:
+    """As ``np.unique`` with ``return_inverse``: keys are sorted by their upper bits with their places in the lower."""
+    bits = np.uint64(max(len(keys) - 1, 1).bit_length())
+    packed = keys >> bits << bits
+    packed |= np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    ranked = keys[order]
+    if (ranked[1:] < ranked[:-1]).any():  # keys that differ in the lower bits only
+        return np.unique(keys, return_inverse=True)
+    new = np.ones(len(keys), dtype=bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    number = np.empty(len(keys), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ranked[new], number
+
+
 def some(distinct: np.ndarray, number: np.ndarray, asked: np.ndarray) -> Keys:
     """The keys of the places that are ``asked``, numbered anew without sorting them again."""
     number = number[asked]
@@ -198,13 +220,13 @@ class Block:
         self.n_one = np.where(self.first, self.corpus.documents, per_word[before])
         # asking also says what is here: what training has once is asked for too, for held-out texts that have it
         self.ask_pair = (self.n_one >= SUPPORT) & (self.c >= 1)
-        distinct, number = np.unique(self.key_pair, return_inverse=True)
+        distinct, number = numbered(self.key_pair)
         self.asked_pair = some(distinct, number, self.ask_pair)
         if PAIRS not in self.totals:
             return
         self.n_pair = self._spread(PAIRS, self.asked_pair, self.ask_pair)
         self.ask_one = self.n_one >= SUPPORT
-        distinct_one, number_one = np.unique(key_word, return_inverse=True)
+        distinct_one, number_one = numbered(key_word)
         self.asked_one = some(distinct_one, number_one[context], self.ask_one)
         # the context of two words is the pair that ends one place before
         key_two = np.concatenate(([np.uint64(0)], self.key_pair[:-1]))
@@ -213,7 +235,7 @@ class Block:
         self.asked_two = some(distinct, np.concatenate(([0], number[:-1])), self.ask_two)
         self.ask_triple = self.ask_two & (self.n_pair >= 1)
         key_triple = mix(key_two[self.ask_triple] * _FACTORS[0] + symbol[self.ask_triple] * _FACTORS[1] + np.uint64(1))
-        self.asked_triple = np.unique(key_triple, return_inverse=True)
+        self.asked_triple = numbered(key_triple)
         if ONE in self.totals:
             self.types_one = self._contexts(ONE, self.asked_one, self.ask_one)
             self.n_triple = self._spread(TRIPLES, self.asked_triple, self.ask_triple)
@@ -254,9 +276,10 @@ class Block:
         words = zstandard.ZstdDecompressor().decompress(packed).split(b"\n")
         order, at = self.word_order(buckets)
         counts = np.bincount(self.ids[self.train], minlength=len(words)).astype("<u4")[order]
+        words = [words[i] for i in order.tolist()]
         compress = zstandard.ZstdCompressor(level=1).compress
         return [
-            (WORDS, b, self.number, compress(b"\n".join([words[i] for i in order[lo:hi]])), press(counts[lo:hi]))
+            (WORDS, b, self.number, compress(b"\n".join(words[lo:hi])), press(counts[lo:hi]))
             for b, (lo, hi) in enumerate(zip(at[:-1], at[1:], strict=True))
             if hi > lo
         ]
@@ -303,49 +326,69 @@ class Block:
 
     # contexts of three words and more, at the places where the context one word shorter is retained
 
-    def resume(self, depth: int) -> None:
-        """Places long enough for ``depth`` words, their contexts and sequences, and totals as far as received."""
+    def lengthen(self, depth: int, at: np.ndarray, chance: np.ndarray, before: np.ndarray, rare: np.ndarray) -> None:
+        """Contexts of ``depth`` words at some places and the sequences that end there."""
+        self.at, self.chance, self.before, self.rare = at, chance, before, rare
         starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
-        at, chance = self.totals[PLACES], self.totals[CHANCE]
         offset = at - starts[self.doc[at]]
-        long = offset >= depth - 1
-        self.at, self.chance, offset = at[long], chance[long], offset[long]
-        key = np.full(len(self.at), depth, dtype=np.uint64)
+        key = np.full(len(at), depth, dtype=np.uint64)
         for back in range(1, depth + 1):
-            symbol = np.where(offset == back - 1, _START, self.hashes[self.ids[self.at - back]])
+            symbol = np.where(offset == back - 1, _START, self.hashes[self.ids[at - back]])
             key = mix(key * _FACTORS[0] + symbol * _FACTORS[1])
-        self.asked_context = np.unique(key, return_inverse=True)
-        self.asked_next = np.unique(mix(key * _FACTORS[0] + self.hashes[self.ids[self.at]] * _FACTORS[1] + np.uint64(1)), return_inverse=True)
+        self.unknown = before == 0
+        self.key_context = key
+        self.asked_context = numbered(key[self.unknown])
+        self.asked_next = numbered(mix(key * _FACTORS[0] + self.hashes[self.ids[at]] * _FACTORS[1] + np.uint64(1)))
+
+    def resume(self, depth: int) -> None:
+        """Take up what was handed on, with the totals as far as received."""
+        at, rare = (np.cumsum(self.totals[number]) for number in (PLACES, RARE))
+        self.lengthen(depth, at, self.totals[CHANCE], self.totals[BEFORE], rare)
         contexts, sequences, test = deeper(depth)
-        if contexts in self.totals:
-            everywhere = np.ones(len(self.at), dtype=bool)
-            self.n_context = self._contexts(contexts, self.asked_context, everywhere)
-            self.n_next = self._contexts(sequences, self.asked_next, everywhere)
-            self.supported = self.n_context >= SUPPORT
-            self.asked_test = some(*self.asked_context, self.supported)
-            if test in self.totals:
-                self.types = self._contexts(test, self.asked_test, self.supported)
+        self.n_context = self.before - 1
+        self.n_context[self.unknown] = self.totals[contexts][self.asked_context[1]]
+        self.n_next = self.totals[sequences][self.asked_next[1]]
+        self.supported = self.n_context >= SUPPORT
+        self.asked_test = numbered(self.key_context[self.supported])
+        if test in self.totals:
+            self.types = self._contexts(test, self.asked_test, self.supported)
 
     def ask_longer(self, depth: int, buckets: int) -> list[tuple]:
         contexts, sequences, _ = deeper(depth)
-        parts = [(self.train[self.at], None)]
-        return self._ask(contexts, self.asked_context, parts, buckets) + self._ask(sequences, self.asked_next, parts, buckets)
+        train = self.train[self.at]
+        asked = self._ask(contexts, self.asked_context, [(train[self.unknown], None)], buckets)
+        return asked + self._ask(sequences, self.asked_next, [(train, None)], buckets)
 
     def ask_test(self, depth: int, buckets: int) -> list[tuple]:
         ok = self.supported
         n, context, train = self.n_next[ok], self.n_context[ok], self.train[self.at][ok]
         return self._ask_test(deeper(depth)[2], self.asked_test, train, n, context, self.chance[ok], buckets)
 
-    def _hand_on(self, retained: np.ndarray, at: np.ndarray, chance: np.ndarray) -> list[tuple]:
-        if not retained.any():
+    def _hand_on(self, depth: int, at: np.ndarray, chance: np.ndarray, known: np.ndarray, buckets: int) -> list[tuple]:
+        """The places of ``at`` that contexts of ``depth`` words fit before, and what is asked of these. ``known``: of
+        the sequence that ends at each place 1 and its total, or 0.
+
+        The total of a context is that of the sequence that ends one place before. Where that was counted, it is not
+        asked for again, and nothing is asked of contexts it shows to be too rare."""
+        starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
+        long = at - starts[self.doc[at]] >= depth - 1
+        at, chance = at[long], chance[long]
+        before = known[at - 1]
+        rare = (before > 0) & (before <= SUPPORT)
+        if rare.all():
             return []
-        return [(self.number, PLACES, 0, press(at[retained].astype("<u4"))), (self.number, CHANCE, 0, press(chance[retained].astype("<f8")))]
+        self.lengthen(depth, at[~rare], chance[~rare], before[~rare], at[rare])
+        parts = ((RARE, np.diff(self.rare, prepend=0)), (PLACES, np.diff(self.at, prepend=0)), (CHANCE, self.chance), (BEFORE, self.before))
+        return self._figures(depth, parts) + self.ask_longer(depth, buckets)
+
+    def _figures(self, depth: int, parts: tuple) -> list[tuple]:
+        return [(number, depth, self.number, b"", press(values.astype(KINDS.get(number, TOTAL)))) for number, values in parts]
 
     def _per_doc(self, values: np.ndarray, doc: np.ndarray) -> np.ndarray:
         return np.bincount(doc, values, minlength=len(self.sizes))
 
-    def settle(self) -> list[tuple]:
-        """Scores by contexts of up to two words, and the places whose context of two words is retained."""
+    def settle(self, buckets: int) -> list[tuple]:
+        """Scores by contexts of up to two words, the places whose context of two words is retained, and requests."""
         corpus, zero = self.corpus, np.zeros(len(self.sizes))
         if not corpus.tokens:
             known, base, model, places = zero, zero, zero, []
@@ -354,16 +397,20 @@ class Block:
             base = self._per_doc(np.log10((self.c + 1) / (corpus.tokens + corpus.words + 1)), self.doc)
             model = self._per_doc(np.log10(chance), self.doc)
             known = self._per_doc((self.c > 0).astype(float), self.doc)
-            places = self._hand_on(self.types_two > 0, np.arange(len(self.ids)), chance)
-        figures = ((KNOWN, known, "<u4"), (BASE, base, "<f8"), (MODEL, model, "<f8"))
-        return [(self.number, number, 0, press(values.astype(kind))) for number, values, kind in figures] + places
+            # a triple that was not asked for is too rare, whatever stands for its total
+            at = np.flatnonzero(self.types_two > 0)
+            places = self._hand_on(3, at, chance[at], self.n_triple + 1, buckets)
+        return self._figures(0, ((KNOWN, known), (BASE, base), (MODEL, model))) + places
 
-    def advance(self, depth: int) -> list[tuple]:
-        """What contexts of ``depth`` words add to the scores, and the places where they are retained."""
+    def advance(self, depth: int, buckets: int) -> list[tuple]:
+        """What contexts of ``depth`` words add to the scores, the places where they are retained, and requests."""
         chance = self.smoothed(self.chance, self.n_next, self.n_context, self.types)
         more = self._per_doc(np.log10(chance) - np.log10(self.chance), self.doc[self.at])
-        places = self._hand_on(self.types > 0, self.at, chance)
-        return [(self.number, MODEL, depth, press(more.astype("<f8"))), *places] if places else []
+        known = np.zeros(len(self.ids), dtype=np.int64)
+        known[self.rare], known[self.at] = 1, self.n_next + 1
+        kept = self.types > 0
+        figures = self._figures(depth, ((MODEL, more),)) if kept.any() else []
+        return figures + self._hand_on(depth + 1, self.at[kept], chance[kept], known, buckets)
 
     def scores(self) -> list[list]:
         docs = len(self.sizes)
@@ -388,15 +435,17 @@ def total_words(table: pa.Table) -> pa.Table:
     """Totals of a bucket's words, for every block that asked; and, as block -1, how many words occur in
     training at all, once and twice."""
     rows = table.to_pylist()
-    totals: dict[bytes, int] = {}
-    asked = []
+    words, sums = [], []
     for row in rows:
-        words = zstandard.ZstdDecompressor().decompress(row["keys"]).split(b"\n")
-        for word, n in zip(words, unpress(row["payload"], "<u4").tolist(), strict=True):
-            totals[word] = totals.get(word, 0) + n
-        asked.append(words)
-    out = [(r["block"], WORDS, r["bucket"], press(np.array([totals[w] for w in words], dtype=TOTAL))) for r, words in zip(rows, asked, strict=True)]
-    counts = np.fromiter(totals.values(), dtype=np.int64, count=len(totals))
+        text = zstandard.ZstdDecompressor().decompress(row["keys"]) + b"\n"
+        ends = np.flatnonzero(np.frombuffer(text, dtype=np.uint8) == ord("\n")) + 1  # words with the line feed behind them
+        offsets = np.concatenate(([0], ends)).astype("<i8")
+        words.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(text)]))
+        sums.append(unpress(row["payload"], "<u4"))
+    # one dictionary for all chunks, whose distinct words are numbered as they come
+    numbers = [chunk.indices.to_numpy() for chunk in pa.chunked_array(words).dictionary_encode().chunks]
+    counts = np.bincount(np.concatenate(numbers), np.concatenate(sums)).astype(TOTAL)  # exact below 2 ** 53
+    out = [(r["block"], WORDS, r["bucket"], press(counts[own])) for r, own in zip(rows, numbers, strict=True)]
     out.append((-1, WORDS, rows[0]["bucket"], press(np.array([(counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()], dtype=TOTAL))))
     return _rows(out, REPLY, REPLY_TYPES)
 
@@ -406,7 +455,7 @@ def total_keys(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
     number = rows[0]["round"]
     keys = [np.cumsum(unpress(r["keys"], "<u8"), dtype=np.uint64) for r in rows]
-    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    distinct, inverse = numbered(np.concatenate(keys))
     if number in (PAIRS, TRIPLES) or (number > TWO and (number - TWO) % 3):
         counts = np.concatenate([unpress_columns(r["payload"], ("<u4",))[0] for r in rows])
         totals = np.bincount(inverse, counts, minlength=len(distinct))  # exact below 2 ** 53
@@ -484,8 +533,8 @@ def _score(docs: DataFrame) -> DataFrame:
     def exchange(asked: DataFrame, label: str) -> DataFrame:
         return stage(asked.groupBy("round", "bucket").applyInArrow(total_keys, REPLY), label)
 
-    def count(make: Callable[[Block], list], schema: str = REQUEST, types: tuple = REQUEST_TYPES) -> DataFrame:
-        return each(make, schema, types, replies, list(rounds), lambda b: b.count(buckets))
+    def count(make: Callable[[Block], list]) -> DataFrame:
+        return each(make, REQUEST, REQUEST_TYPES, replies, list(rounds), lambda b: b.count(buckets))
 
     rounds = [WORDS]
     if corpus.tokens:
@@ -496,20 +545,28 @@ def _score(docs: DataFrame) -> DataFrame:
         rounds += [ONE, TRIPLES]
         replies = replies.union(exchange(count(lambda b: b.ask_contexts(TWO, buckets)), "context-totals"))
         rounds.append(TWO)
-    state = stage(count(lambda b: b.settle(), REPLY, REPLY_TYPES), "states")
-    figures, depth = state.filter(F.col("round").isin(KNOWN, BASE, MODEL)), 3
-    while not (places := state.filter(F.col("round").isin(PLACES, CHANCE))).isEmpty():
 
-        def extend(make, right, done, schema=REQUEST, types=REQUEST_TYPES, depth=depth):
+    def parted(mixed: DataFrame) -> list[DataFrame]:
+        """Figures of documents, places, and requests, of what blocks said at once."""
+        kept = mixed.filter("round < 0").select("block", "round", "bucket", F.col("payload").alias("totals"))
+        figure = F.col("round").isin(KNOWN, BASE, MODEL)
+        return [kept.filter(figure), kept.filter(~figure), mixed.filter("round >= 0")]
+
+    figures, places, asked = parted(stage(count(lambda b: b.settle(buckets)), "states"))
+    depth = 3
+    while not places.isEmpty():
+
+        def extend(make, right, done, depth=depth):
             # blocks without places have nothing more to ask
-            resume = lambda b: b.resume(depth)
-            return each(lambda b: make(b, depth), schema, types, right, [*done], resume)
+            return each(lambda b: make(b, depth), REQUEST, REQUEST_TYPES, right, done, lambda b: b.resume(depth))
 
         *counts, test = deeper(depth)
-        known = places.union(exchange(extend(lambda b, d: b.ask_longer(d, buckets), places, []), "longer-totals"))
+        known = places.union(exchange(asked, "longer-totals"))
         known = known.union(exchange(extend(lambda b, d: b.ask_test(d, buckets), known, counts), "longer-contexts"))
-        state = stage(extend(lambda b, d: b.advance(d), known, [*counts, test], REPLY, REPLY_TYPES), "states")
-        figures = figures.union(state.filter(F.col("round") == MODEL))
+        # what is left of most blocks is little: some files for all, not one for each bucket
+        mixed = extend(lambda b, d: b.advance(d, buckets), known, [*counts, test]).hint("rebalance")
+        more, places, asked = parted(stage(mixed, "states"))
+        figures = figures.union(more)
         depth += 1
     types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
     return each(lambda b: b.scores(), SCORES, types, figures, [], lambda b: None, columns=True)
